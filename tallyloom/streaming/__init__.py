@@ -1,0 +1 @@
+"""Empty on purpose: every job this package covers is a batch job."""
