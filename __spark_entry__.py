@@ -45,7 +45,7 @@ from tallyloom.plans import (  # noqa: E402
     truncate_table,
 )
 from tallyloom.session import scratch_dir  # noqa: E402
-from tallyloom.sinks import co_locate, land_raw, write_csv  # noqa: E402
+from tallyloom.sinks import land_raw, write_csv  # noqa: E402
 from tallyloom.sources import (  # noqa: E402
     list_files,
     name_for_sql,
@@ -254,12 +254,14 @@ def table_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
-    table = f"{_schema(spark, 'keyed')}.orders"
-    columns = {"o_custkey": "BIGINT", "o_orderkey": "BIGINT"}
-    create_table(spark, table, columns, key="o_custkey", buckets=8)
-    insert_into(co_locate(orders, "o_custkey", buckets=8), table)
-    return spark.table(table).groupBy("o_custkey").agg(F.count("*").alias("order_count"))
+    orders = _read(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus")
+    counts = count_outcomes(orders, "o_custkey", "o_orderstatus", {"done": "F"}, not_value="F")
+    table = f"{_schema(spark, 'keyed')}.order_counts"
+    create_table(
+        spark, table, {"o_custkey": "BIGINT", "done": "BIGINT", "total": "BIGINT"}, key="o_custkey"
+    )
+    insert_into(counts, table)
+    return spark.table(table)
 
 
 # --- sources and sinks ---------------------------------------------------------
@@ -533,7 +535,10 @@ def oracle_sql() -> dict[str, str]:
                      else o_orderstatus end as o_orderstatus
             from orders""",
         "table_reload": "select c_custkey, c_name, c_mktsegment from customer",
-        "keyed_layout": "select o_custkey, count(*) as order_count from orders group by 1",
+        "keyed_layout": """
+            select o_custkey, count(case when o_orderstatus = 'F' then 1 end) as done,
+                count(case when o_orderstatus <> 'F' then 1 end) as total
+            from orders group by 1""",
         "csv_scan_string": """
             select cast(event_id as varchar) as event_id, cast(user_id as varchar) as user_id,
                 event_type, props from events""",

@@ -8,8 +8,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.size import fits
+
 _KEY, _COPIES, _SALT = "__key", "__copies", "__salt"
-_ROW_OVERHEAD = 32  # bytes a broadcast row needs besides its key
 
 
 def _predicates(
@@ -47,13 +48,6 @@ def count_outcomes(
     )
 
 
-def _fits(df: DataFrame, limit: int) -> bool:
-    """Whether all rows together stay under ``limit`` bytes."""
-    widths = [F.max(F.octet_length(F.col(c).cast("string"))) for c in df.columns]
-    rows, *widest = df.agg(F.count("*"), *widths).first()
-    return rows * (sum(w or 0 for w in widest) + _ROW_OVERHEAD) <= limit
-
-
 def tally(
     fact: DataFrame,
     dim: DataFrame,
@@ -92,7 +86,7 @@ def tally(
     copies = used.groupBy(*used.columns).agg(F.count("*").alias(_COPIES))
 
     one_row = key_value is not None and not dim_groups
-    if one_row or _fits(used, broadcast_bytes):
+    if one_row or fits(used, broadcast_bytes):
         joined = fact.join(F.broadcast(copies), fact[fact_key] == copies[_KEY])
         return joined.groupBy(group).agg(
             *[

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from tallyloom.operators import (
     require,
     row_count_rules,
 )
+from tallyloom.operators.size import fits
+from tallyloom.sinks.layout import co_locate
 from tallyloom.sources.catalog import table_columns
 from tallyloom.sources.csv import read_csv
 
@@ -36,15 +40,21 @@ def create_table(
     table: str,
     columns: Mapping[str, str],
     key: str | None = None,
-    buckets: int = 8,
+    buckets: int | None = None,
 ) -> None:
-    """Create a Parquet table if it is missing; ``key`` distributes its rows over buckets.
+    """Create a Parquet table if it is missing.
 
     ``columns`` maps each name to its SQL type, such as ``VARCHAR(255)``, whose
-    length Spark enforces on every write.
+    length Spark enforces on every write. ``key`` distributes the rows over
+    ``buckets``, by default as many as a shuffle has partitions, so that joins and
+    aggregates on it need no shuffle. Choose a column that identifies the rows:
+    one task reads a bucket, and a hot value would make a hot bucket.
     """
     listed = ", ".join(f"`{name}` {sql_type}" for name, sql_type in columns.items())
-    clustered = f" CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS" if key else ""
+    clustered = ""
+    if key:
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        clustered = f" CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({listed}) USING parquet{clustered}")
 
 
@@ -54,8 +64,13 @@ def create_table_as(df: DataFrame, table: str) -> None:
 
 
 def insert_into(df: DataFrame, table: str) -> None:
-    """Append a DataFrame's rows, matching columns by name."""
-    df.select(*table_columns(df.sparkSession, table)).write.insertInto(table)
+    """Append a DataFrame's rows, matching columns by name; bucketed tables get few files."""
+    spark = df.sparkSession
+    rows = df.select(*table_columns(spark, table))
+    keys = [column.name for column in spark.catalog.listColumns(table) if column.isBucket]
+    if len(keys) == 1:
+        rows = co_locate(rows, keys[0], int(_detail(spark, table, "Num Buckets")))
+    rows.write.insertInto(table)
 
 
 def truncate_table(spark: SparkSession, table: str) -> None:
@@ -111,6 +126,7 @@ def load(
     key: Sequence[str] = (),
     order: Sequence[str | Column] = (),
     ties: Sequence[str | Column] = (),
+    table_unique: bool = False,
     constraints: Constraints | None = None,
     min_rows: int = 0,
 ) -> None:
@@ -119,7 +135,10 @@ def load(
     - ``append`` adds the rows,
     - ``truncate`` replaces the table's rows with them,
     - ``keep_latest`` adds them and keeps the latest row per ``key`` by ``order``
-      over the whole table, so that loading a batch again changes nothing.
+      over the whole table, so that loading a batch again changes nothing. Say
+      ``table_unique`` when the table has one row per key already, as a former
+      ``keep_latest`` leaves it: then a batch whose keys can be broadcast is merged
+      without shuffling the table.
 
     Fields go by position to ``columns``, or to all of the table's columns, and
     unlisted columns are NULL. The first line of each file is skipped while
@@ -135,8 +154,8 @@ def load(
     if mode == "truncate":
         replace_table(batch, table, constraints, min_rows)
     elif mode == "keep_latest":
-        rows = spark.table(table).unionByName(batch)
-        replace_table(latest_per_key(rows, key, order, ties), table, constraints, min_rows)
+        rows = _merge_latest(spark.table(table), batch, key, order, ties, table_unique)
+        replace_table(rows, table, constraints, min_rows)
     elif constraints or min_rows:
         _append_checked(spark, batch, table, constraints, min_rows)
     else:
@@ -169,6 +188,17 @@ def _read_batch(
     )
 
 
+def _merge_latest(current, batch, key, order, ties, table_unique, limit=64 << 20) -> DataFrame:
+    keys = batch.select(*[F.col(c).alias(f"__{c}") for c in key])
+    if not (table_unique and fits(keys, limit)):
+        return latest_per_key(current.unionByName(batch), key, order, ties)
+    keys = F.broadcast(keys.distinct())
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
+    touched = current.join(keys, same, "left_semi").unionByName(batch)
+    untouched = current.join(keys, same, "left_anti")
+    return untouched.unionByName(latest_per_key(touched, key, order, ties))
+
+
 def _append_checked(spark, batch, table, constraints, min_rows) -> None:
     stage, new = _stage(spark, table)
     try:
@@ -187,9 +217,13 @@ def _gate(spark, stage, table, constraints, min_rows) -> None:
         require(constraint_rules(spark.table(stage), table, constraints))
 
 
-def _location(spark: SparkSession, table: str) -> str:
+def _detail(spark: SparkSession, table: str, name: str) -> str:
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return details.where(F.col("col_name") == "Location").select("data_type").first()[0]
+    return details.where(F.col("col_name") == name).select("data_type").first()[0]
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    return _detail(spark, table, "Location")
 
 
 def _stage(spark: SparkSession, table: str) -> tuple[str, str]:

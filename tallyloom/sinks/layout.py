@@ -3,16 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
-def co_locate(df: DataFrame, key: str, buckets: int, spread: int = 8) -> DataFrame:
+def co_locate(df: DataFrame, key: str, buckets: int) -> DataFrame:
     """Shuffle rows so that a write into ``buckets`` buckets of ``key`` makes few files.
 
-    Without it every task of a bucketed write opens every bucket. Each bucket goes
-    to up to ``spread`` tasks, told apart by the input task a row comes from, so a
-    hot key is written by several tasks and still lands in its one bucket.
+    Without it every task of a bucketed write opens every bucket. A task gets the
+    rows of one bucket, as both hash the key alike; adaptive execution joins small
+    buckets in one task and splits a hot one over several.
     """
-    bucket = F.pmod(F.hash(key), F.lit(buckets))
-    part = F.pmod(F.spark_partition_id(), F.lit(spread))
-    return df.repartition(buckets * spread, bucket, part)
+    return df.hint("rebalance", buckets, key)
