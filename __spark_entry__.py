@@ -214,7 +214,7 @@ def load_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
-def load_keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_keep_latest(spark: SparkSession, sf_dir: str, table_unique: bool = False) -> DataFrame:
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     urgent = _read(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
     batch = urgent.select(
@@ -232,11 +232,17 @@ def load_keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         mode="keep_latest",
         key=["o_orderkey"],
         order=["version"],
+        table_unique=table_unique,
         constraints=Constraints(not_null=("o_orderkey",), key=("o_orderkey",)),
     )
     return spark.table(table).select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
+def load_keep_latest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same load into a table known to hold one row per key."""
+    return load_keep_latest(spark, sf_dir, table_unique=True)
+
+
 def table_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create, drop, create typed, fill, delete every row, insert from a staged select."""
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
@@ -454,6 +460,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_columns": load_columns,
         "load_truncate": load_truncate,
         "load_keep_latest": load_keep_latest,
+        "load_keep_latest_merge": load_keep_latest_merge,
         "table_reload": table_reload,
         "keyed_layout": keyed_layout,
         "csv_scan_string": csv_scan_string,
@@ -489,6 +496,12 @@ _TALLY = f"""
     from lineitem l join supplier s on s.s_suppkey = l.l_suppkey
     where s.s_suppkey = 7 group by 1
 """
+_KEEP_LATEST = """
+    select o_orderkey, o_custkey,
+        case when o_orderpriority = '1-URGENT' then o_orderstatus || '2'
+             else o_orderstatus end as o_orderstatus
+    from orders
+"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -529,11 +542,8 @@ def oracle_sql() -> dict[str, str]:
         "load_columns": """
             select c_custkey, c_name, cast(null as varchar) as c_mktsegment from customer""",
         "load_truncate": "select * from events",
-        "load_keep_latest": """
-            select o_orderkey, o_custkey,
-                case when o_orderpriority = '1-URGENT' then o_orderstatus || '2'
-                     else o_orderstatus end as o_orderstatus
-            from orders""",
+        "load_keep_latest": _KEEP_LATEST,
+        "load_keep_latest_merge": _KEEP_LATEST,
         "table_reload": "select c_custkey, c_name, c_mktsegment from customer",
         "keyed_layout": """
             select o_custkey, count(case when o_orderstatus = 'F' then 1 end) as done,

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.quality import _as_rules
+from tallyloom.operators.quality import as_rules
 
 
 @dataclass(frozen=True)
@@ -23,25 +23,36 @@ class Constraints:
         return bool(self.not_null or self.max_length or self.key)
 
 
-def count_violations(df: DataFrame, constraints: Constraints) -> DataFrame:
-    """One row of counts: ``null_<column>``, ``long_<column>`` and ``extra_keys``.
+def constraint_rules(df: DataFrame, table_name: str, constraints: Constraints) -> DataFrame:
+    """One rule row per constraint, ready for ``require``; ``actual`` counts violations.
 
-    Everything is counted in one scan. With a key, rows are first counted per
-    key, combined before the shuffle, so repeated keys cost one row per task.
+    The rules are ``null_<column>``, ``long_<column>`` and ``extra_keys``, the
+    number of rows beyond the first of their key. All columns are checked in one
+    scan without a shuffle. Keys are counted in another, which reads and shuffles
+    nothing but keys and combines repeated ones first, so a hot key costs one row
+    per task.
     """
-    counts = {f"null_{c}": F.col(c).isNull() for c in constraints.not_null}
-    counts |= {f"long_{c}": F.length(c) > n for c, n in constraints.max_length.items()}
-    counted = [F.count(F.when(p, 1)).alias(name) for name, p in counts.items()]
-    if not constraints.key:
-        return df.agg(*counted)
-    per_key = df.groupBy(*[F.col(c).alias(f"__key_{c}") for c in constraints.key]).agg(
-        (F.count("*") - 1).alias("extra_keys"), *counted
-    )
-    return per_key.agg(
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in [*counts, "extra_keys"]]
-    )
+    checks = {f"null_{c}": F.col(c).isNull() for c in constraints.not_null}
+    checks |= {f"long_{c}": F.length(c) > n for c, n in constraints.max_length.items()}
+    found = []
+    if checks:
+        counts = [F.count(F.when(p, 1)).alias(name) for name, p in checks.items()]
+        found.append(as_rules(df.agg(*counts), table_name))
+    if constraints.key:
+        per_key = df.groupBy(*constraints.key).agg((F.count("*") - 1).alias("__extra"))
+        extra = F.coalesce(F.sum("__extra"), F.lit(0)).alias("extra_keys")
+        found.append(as_rules(per_key.agg(extra), table_name))
+    if not found:
+        raise ValueError("no constraint given")
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
-def constraint_rules(df: DataFrame, table_name: str, constraints: Constraints) -> DataFrame:
-    """:func:`count_violations` as rule rows, ready for ``require``."""
-    return _as_rules(count_violations(df, constraints), table_name)
+def count_violations(df: DataFrame, constraints: Constraints) -> DataFrame:
+    """:func:`constraint_rules` as one row, with a column for each rule."""
+    names = [f"null_{c}" for c in constraints.not_null]
+    names += [f"long_{c}" for c in constraints.max_length]
+    names += ["extra_keys"] if constraints.key else []
+    rules = constraint_rules(df, "", constraints)
+    return rules.agg(
+        *[F.max(F.when(F.col("rule") == name, F.col("actual"))).alias(name) for name in names]
+    )

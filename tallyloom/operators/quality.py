@@ -36,7 +36,7 @@ def null_rules(
     All columns are counted in one pass.
     """
     counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns])
-    return _as_rules(counts, table_name, expected)
+    return as_rules(counts, table_name, expected)
 
 
 def scalar_rule(spark: SparkSession, table_name: str, check_sql: str, expected: Any) -> DataFrame:
@@ -64,7 +64,7 @@ def require(rules: DataFrame) -> None:
         raise QualityError("data quality check failed: " + "; ".join(lines))
 
 
-def _as_rules(counts: DataFrame, table_name: str, expected: int = 0) -> DataFrame:
+def as_rules(counts: DataFrame, table_name: str, expected: int = 0) -> DataFrame:
     """Turn a one-row DataFrame of counts into one rule row per column."""
     return counts.unpivot([], counts.columns, "rule", "actual").select(
         F.lit(table_name).alias("table_name"),

@@ -102,8 +102,9 @@ def tally(
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(_SALT)
     left = counted.select("*", salt if fact_groups else every_salt)
     right = copies.select("*", every_salt if fact_groups else salt)
+    # Found too large above, so it must not be broadcast on an estimate either.
     return (
-        left.join(right, [_KEY, _SALT])
+        left.join(right.hint("merge"), [_KEY, _SALT])
         .groupBy(group)
         .agg(*[F.sum(F.col(name) * F.col(_COPIES)).alias(name) for name in predicates])
     )

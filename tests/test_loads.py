@@ -14,6 +14,7 @@ from tallyloom.plans import (
     replace_table,
     truncate_table,
 )
+from tallyloom.plans.loads import _merge_latest
 from tallyloom.sinks import write_csv
 
 COLUMNS = {"k": "INT", "o": "INT", "v": "STRING"}
@@ -100,6 +101,18 @@ def test_keep_latest_null_keys_and_older_batch(spark, table, csv_file, unique):
     assert rows(spark.table(table)) == expected
 
 
+def test_a_small_batch_does_not_shuffle_a_unique_table(spark, table, csv_file):
+    batch = spark.read.csv(csv_file("in.csv", "0,9,b\n"), schema="k int, o int, v string")
+    merged = _merge_latest(spark.table(table), batch, ["k"], ["o"], (), table_unique=True)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan and "NestedLoop" not in plan
+    large = _merge_latest(
+        spark.table(table), batch, ["k"], ["o"], (), table_unique=True, limit=0
+    )
+    assert "LeftAnti" not in large._jdf.queryExecution().executedPlan().toString()
+    assert rows(large) == rows(merged) == [(0, 9, "b"), (1, 1, "a"), (2, 2, "a")]
+
+
 def test_keep_latest_collapses_old_duplicates(spark, table, csv_file):
     insert_into(spark.createDataFrame([(2, 5, "z")], "k int, o int, v string"), table)
     path = csv_file("none.csv", "k,o,v\n")

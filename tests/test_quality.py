@@ -63,6 +63,8 @@ def test_constraints_without_a_key_need_no_shuffle_by_key(spark):
     df = spark.range(10).selectExpr("cast(id AS string) AS s")
     counts = count_violations(df, Constraints(not_null=("s",), max_length={"s": 0}))
     assert counts.first().asDict() == {"null_s": 0, "long_s": 10}
+    with pytest.raises(ValueError, match="no constraint"):
+        constraint_rules(df, "t", Constraints())
     assert "hashpartitioning" not in counts._jdf.queryExecution().executedPlan().toString()
 
 
