@@ -23,10 +23,10 @@ MEDALS = {
 }
 MEDAL_COLUMNS = {
     "sport": "VARCHAR(255)",
-    "gold": "BIGINT",
-    "silver": "BIGINT",
-    "bronze": "BIGINT",
-    "total": "BIGINT",
+    "gold": "BIGINT NOT NULL",
+    "silver": "BIGINT NOT NULL",
+    "bronze": "BIGINT NOT NULL",
+    "total": "BIGINT NOT NULL",
 }
 MEDAL_CONSTRAINTS = Constraints(
     not_null=("sport", "gold", "silver", "bronze", "total"),

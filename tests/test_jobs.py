@@ -2,6 +2,7 @@ import glob
 
 import pytest
 
+from tallyloom.__main__ import main
 from tallyloom.operators import QualityError
 from tallyloom.plans import local_extract, refresh
 from tallyloom.session import object_path, object_store_conf, scratch_dir
@@ -11,7 +12,7 @@ from test_tally import FACT_A, FACT_B, ONE
 
 @pytest.fixture
 def run(spark, csv_file, tmp_path):
-    name = f"olympic_{abs(hash(str(tmp_path)))}"
+    name = f"medals_{abs(hash(str(tmp_path)))}"
 
     def refresh_with(fact, **options):
         return refresh(
@@ -98,3 +99,19 @@ def test_scratch_folder():
         scratch_dir(FakeSession("yarn"), "x")
     one, two = (scratch_dir(FakeSession("local[2]"), "x") for _ in range(2))
     assert one != two
+
+
+def test_command_line(spark, csv_file, tmp_path, schema, capsys):
+    fact, dim = csv_file("in/fact.csv", CLEAN), csv_file("in/dim.csv", ONE)
+    paths = ["--fact", fact, "--dim", dim]
+    main(["extract", *paths, "--result", str(tmp_path / "out")])
+    folders = ["--incoming", str(tmp_path / "in"), "--raw", str(tmp_path / "raw")]
+    main(["refresh", *folders, *paths, "--table", f"{schema}.medals"])
+    assert capsys.readouterr().out.count("|   Judo|   2|") == 2
+    spark.sql(f"CREATE TABLE {schema}.noc (noc STRING) USING parquet")
+    for _ in range(2):
+        latest = ["--mode", "keep_latest", "--key", "noc", "--order", "noc"]
+        main(["load", "--table", f"{schema}.noc", "--paths", dim, *latest])
+    assert rows(spark.table(f"{schema}.noc")) == {("KOR",), ("USA",)}
+    with pytest.raises(SystemExit):
+        main(["load", "--table", "t"])

@@ -165,6 +165,15 @@ def test_replace_reads_its_own_table_and_keeps_the_definition(spark, schema):
     assert spark.table(name).count() == 3
 
 
+def test_folder_names_with_blanks(spark, tmp_path):
+    spark.sql(f"CREATE SCHEMA blanks LOCATION '{tmp_path}/a b%20c'")
+    create_table(spark, "blanks.t", {"k": "INT NOT NULL"})
+    for n in (1, 2):
+        replace_table(spark.range(n).selectExpr("cast(id AS int) AS k"), "blanks.t")
+        assert spark.table("blanks.t").count() == n
+    spark.sql("DROP SCHEMA blanks CASCADE")
+
+
 def test_replace_can_keep_the_old_files(spark, table):
     old = spark.table(table)
     replace_table(spark.createDataFrame([(5, 5, "z")], list(COLUMNS)), table, keep_old=True)
