@@ -63,7 +63,6 @@ FLAGS = {
     "outcomes": {"gold": "A", "silver": "R", "bronze": "X"},
     "not_value": "N",
 }
-FLAGS_OF_ONE = {**FLAGS, "key_value": 7}
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -105,7 +104,7 @@ def _table_like(df: DataFrame, table: str) -> None:
 
 
 def tally_one_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tally(_fact(spark, sf_dir), _dim(spark, sf_dir), **FLAGS_OF_ONE)
+    return tally(_fact(spark, sf_dir), _dim(spark, sf_dir), **FLAGS, key_value=7)
 
 
 def tally_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,7 +292,7 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = tally_one_key(spark, sf_dir)
+    result = tally(_fact(spark, sf_dir), _dim(spark, sf_dir), **FLAGS)
     return read_csv(spark, _export(result, "tally", single_file=True), schema=result.schema)
 
 
@@ -409,7 +408,6 @@ def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = _export(_fact(spark, sf_dir), "fact")
     dim = _export(_dim(spark, sf_dir), "dim")
     schema = scratch_dir(spark, "refresh")
-    # The CSV columns are strings, so the key is one as well.
     return refresh(
         spark,
         incoming=[fact, dim],
@@ -417,7 +415,7 @@ def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         fact_path=fact,
         dim_path=dim,
         table=f"{schema.rpartition('/')[2].replace('-', '_')}.medals",
-        spec={**FLAGS, "key_value": "7"},
+        spec=FLAGS,
         schema_location=schema,
     )
 
@@ -425,7 +423,7 @@ def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def local_extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = _export(_fact(spark, sf_dir), "fact")
     dim = _export(_dim(spark, sf_dir), "dim")
-    return local_extract(spark, fact, dim, scratch_dir(spark, "result"), spec=FLAGS_OF_ONE)
+    return local_extract(spark, fact, dim, scratch_dir(spark, "result"), spec=FLAGS)
 
 
 def two_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -496,6 +494,10 @@ _TALLY = f"""
     from lineitem l join supplier s on s.s_suppkey = l.l_suppkey
     where s.s_suppkey = 7 group by 1
 """
+_TALLY_WHOLE = f"""
+    select l.l_linenumber as sport, {_TALLY_COUNTS}
+    from lineitem l join supplier s on s.s_suppkey = l.l_suppkey group by 1
+"""
 _KEEP_LATEST = """
     select o_orderkey, o_custkey,
         case when o_orderpriority = '1-URGENT' then o_orderstatus || '2'
@@ -553,7 +555,7 @@ def oracle_sql() -> dict[str, str]:
             select cast(event_id as varchar) as event_id, cast(user_id as varchar) as user_id,
                 event_type, props from events""",
         "csv_scan_inferred": "select c_custkey, c_name, c_nationkey, c_acctbal from customer",
-        "csv_single_file": _TALLY,
+        "csv_single_file": _TALLY_WHOLE,
         "raw_landing": """
             select concat_ws(',', c_custkey, c_name, c_nationkey, c_mktsegment) as value
             from customer""",
@@ -602,9 +604,9 @@ def oracle_sql() -> dict[str, str]:
                 count(case when length(o_orderpriority) > 8 then 1 end) as too_long,
                 count(*) - count(distinct o_orderkey) as extra_keys
             from orders""",
-        "daily_refresh": _TALLY.replace("l.l_linenumber", "cast(l.l_linenumber as varchar)"),
-        "local_extract": _TALLY,
-        "two_table_load": f"""
-            select l.l_linenumber as sport, {_TALLY_COUNTS}
-            from lineitem l join supplier s on s.s_suppkey = l.l_suppkey group by 1""",
+        "daily_refresh": _TALLY_WHOLE.replace(
+            "l.l_linenumber", "cast(l.l_linenumber as varchar)"
+        ),
+        "local_extract": _TALLY_WHOLE,
+        "two_table_load": _TALLY_WHOLE,
     }

@@ -91,8 +91,9 @@ def replace_table(
     and leaves the table as it was. Then the table is pointed at the new files in
     one catalog change, so readers see the old rows or the new ones and no data is
     moved. The old files go afterwards, unless ``keep_old`` leaves them to readers
-    that are still running. A partitioned table is refused: its partitions carry
-    locations of their own.
+    that are still running. Run one writer per table: another job's replacement in
+    the meantime stops this one, but rows that it appends would be lost. A partitioned
+    table is refused: its partitions carry locations of their own.
     """
     spark = df.sparkSession
     if any(column.isPartition for column in spark.catalog.listColumns(table)):
@@ -102,6 +103,8 @@ def replace_table(
     try:
         insert_into(df, stage)
         _gate(spark, stage, table, constraints, min_rows)
+        if _location(spark, table) != old:
+            raise RuntimeError(f"{table} was replaced by another job in the meantime")
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
     except BaseException:
         # A catalog may report an error for a change it made: never drop live files.

@@ -19,8 +19,8 @@ def run(spark, csv_file, tmp_path):
             spark,
             incoming=str(tmp_path / "in"),
             raw=str(tmp_path / "raw"),
-            fact_path=csv_file("in/athlete_events.csv", fact),
-            dim_path=csv_file("in/noc_regions.csv", ONE),
+            fact_path=csv_file("in/events.csv", fact),
+            dim_path=csv_file("in/regions.csv", ONE),
             table=f"{name}.medals",
             schema_location=str(tmp_path / "tables"),
             **options,
@@ -44,7 +44,7 @@ def test_refresh_lands_publishes_and_can_run_again(spark, run, tmp_path):
     published.show()
     assert rows(published) == expected
     assert published.count() == 2
-    landed = read_landed(spark, str(tmp_path / "raw"), "athlete_events.csv")
+    landed = read_landed(spark, str(tmp_path / "raw"), "events.csv")
     assert sorted(r.value for r in landed.collect()) == sorted(CLEAN.splitlines())
     assert rows(run(CLEAN + "Polo,KOR,Silver\n")) == expected | {("Polo", 0, 1, 0, 1)}
 

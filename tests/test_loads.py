@@ -11,6 +11,7 @@ from tallyloom.plans import (
     insert_into,
     load,
     load_fact_and_dimension,
+    loads,
     replace_table,
     truncate_table,
 )
@@ -181,6 +182,20 @@ def test_replace_can_keep_the_old_files(spark, table):
     assert old.count() == 3  # a reader that started before
 
 
+def test_a_second_writer_stops_the_first(spark, table, monkeypatch):
+    gate = loads._gate
+
+    def gate_while_another_job_replaces(*args):
+        monkeypatch.setattr(loads, "_gate", gate)
+        replace_table(spark.createDataFrame([(6, 6, "z")], list(COLUMNS)), table)
+
+    monkeypatch.setattr(loads, "_gate", gate_while_another_job_replaces)
+    with pytest.raises(RuntimeError, match="another job"):
+        replace_table(spark.createDataFrame([(5, 5, "z")], list(COLUMNS)), table)
+    assert rows(spark.table(table)) == [(6, 6, "z")]
+    assert tables(spark, table) == ["t"]
+
+
 def test_replace_refuses_a_partitioned_table(spark, schema):
     spark.range(3).selectExpr("id", "id % 2 AS p").write.partitionBy("p").saveAsTable(f"{schema}.p")
     with pytest.raises(ValueError, match="partitioned"):
