@@ -46,6 +46,7 @@ def refresh(
     columns: Mapping[str, str] = MEDAL_COLUMNS,
     constraints: Constraints = MEDAL_CONSTRAINTS,
     key: str | None = "sport",
+    buckets: int = 8,
     min_rows: int = 0,
     schema_location: str | None = None,
     database: JdbcDatabase | None = None,
@@ -59,7 +60,7 @@ def refresh(
     """
     land_raw(spark, incoming, raw)
     create_schema(spark, table.rpartition(".")[0] or "default", schema_location)
-    create_table(spark, table, columns, key=key)
+    create_table(spark, table, columns, key=key, buckets=buckets)
     result = tally(read_csv(spark, fact_path), read_csv(spark, dim_path), **spec)
     replace_table(result, table, constraints, min_rows)
     published = spark.table(table)

@@ -221,8 +221,9 @@ def _gate(spark, stage, table, constraints, min_rows) -> None:
 
 
 def _detail(spark: SparkSession, table: str, name: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return details.where(F.col("col_name") == name).select("data_type").first()[0]
+    # The last row of that name: a column may be called the same and comes first.
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return [row.data_type for row in details if row.col_name == name][-1]
 
 
 def _location(spark: SparkSession, table: str) -> str:

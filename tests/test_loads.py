@@ -175,6 +175,12 @@ def test_folder_names_with_blanks(spark, tmp_path):
     spark.sql("DROP SCHEMA blanks CASCADE")
 
 
+def test_a_column_called_location(spark, schema):
+    create_table(spark, f"{schema}.t", {"Location": "STRING"})
+    replace_table(spark.createDataFrame([("here",)], ["Location"]), f"{schema}.t")
+    assert rows(spark.table(f"{schema}.t")) == [("here",)]
+
+
 def test_replace_can_keep_the_old_files(spark, table):
     old = spark.table(table)
     replace_table(spark.createDataFrame([(5, 5, "z")], list(COLUMNS)), table, keep_old=True)
