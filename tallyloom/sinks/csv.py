@@ -15,7 +15,7 @@ def write_csv(
     header: bool = True,
     mode: str = "overwrite",
 ) -> None:
-    """Write CSV with a header line and ``"`` escaped by doubling.
+    """Write CSV with a header line and ``"`` escaped by doubling; blanks are kept.
 
     Every task writes its own file. ``single_file`` gives one file, written by one
     task, for a result of known size: more than ``single_file_rows`` rows are
@@ -39,6 +39,8 @@ def _write(df: DataFrame, path: str, header: bool, mode: str) -> None:
     df.write.options(
         header=header,
         escape='"',
+        ignoreLeadingWhiteSpace=False,  # Spark would trim what it writes
+        ignoreTrailingWhiteSpace=False,
         timestampFormat=_MICROSECONDS + "XXX",
         timestampNTZFormat=_MICROSECONDS,
     ).mode(mode).csv(path)

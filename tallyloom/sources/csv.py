@@ -52,7 +52,8 @@ def read_csv(
     ``trim`` strips blanks around unquoted values. ``strict`` raises on a row that
     does not fit the schema, once its columns are read: a bare ``count()`` reads
     none. ``escape`` is the quote itself, as :func:`tallyloom.sinks.write_csv`
-    writes; pass a backslash for Spark's own reading.
+    writes; pass a backslash for Spark's own reading. A field with a line break in
+    it needs ``multiLine``, which gives each file to one task.
     """
     unknown = sorted(set(options) - READ_OPTIONS)
     if unknown:

@@ -2,6 +2,8 @@ import glob
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
 from tallyloom.sinks import append_jdbc, land_raw, replace_jdbc, write_csv
@@ -39,6 +41,30 @@ def test_quotes_and_commas_round_trip(spark, tmp_path):
     assert rows(split) == [('"a ""q"" b', ' c"')]
 
 
+texts = st.one_of(
+    st.none(),
+    st.text(st.characters(exclude_categories=["Cc", "Cs"]), max_size=8),
+    st.text(' ,"\\\\\'#|\\t', max_size=5),
+)
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(data=st.lists(st.tuples(texts, texts, texts), min_size=1, max_size=20))
+def test_any_text_round_trips(spark, tmp_path, data):
+    df = spark.createDataFrame(data, "a string, b string, c string")
+    write_csv(df, str(tmp_path / "any"))
+    back = read_csv(spark, str(tmp_path / "any"), schema=df.schema, nullValue="\0", strict=True)
+    assert rows(back) == sorted(data, key=str)
+
+
+def test_line_breaks_round_trip_with_multi_line(spark, tmp_path):
+    df = spark.createDataFrame([("one\ntwo", "x"), ("three", None)], "a string, b string")
+    write_csv(df, str(tmp_path / "breaks"))
+    assert rows(read_csv(spark, str(tmp_path / "breaks"), multiLine=True)) == rows(df)
+
+
 def test_strings_nulls_and_blanks(spark, csv_file):
     path = csv_file("in.csv", 'a,b\n1,\n 2 ," Silver "\n')
     assert rows(read_csv(spark, path)) == [(" 2 ", " Silver "), ("1", None)]
