@@ -2,6 +2,7 @@ from tallyloom.operators.constraints import Constraints, constraint_rules, count
 from tallyloom.operators.latest import latest_per_key
 from tallyloom.operators.quality import (
     QualityError,
+    first_cell_rule,
     null_rules,
     require,
     row_count_rules,
@@ -15,6 +16,7 @@ __all__ = [
     "constraint_rules",
     "count_outcomes",
     "count_violations",
+    "first_cell_rule",
     "latest_per_key",
     "null_rules",
     "require",

@@ -40,16 +40,20 @@ def null_rules(
 
 
 def scalar_rule(spark: SparkSession, table_name: str, check_sql: str, expected: Any) -> DataFrame:
-    """Run ``check_sql`` and compare its first cell to ``expected``; one rule row.
+    """Run ``check_sql`` and compare its first cell to ``expected``; one rule row."""
+    return first_cell_rule(spark.sql(check_sql), table_name, check_sql, expected)
 
-    A query without rows gives a NULL and fails, unless NULL is expected.
+
+def first_cell_rule(result: DataFrame, table_name: str, rule: str, expected: Any) -> DataFrame:
+    """:func:`scalar_rule` for a result from elsewhere, such as ``read_jdbc(query=...)``.
+
+    A result without rows gives a NULL and fails, unless NULL is expected.
     """
-    result = spark.sql(check_sql)
     first_cell = result.select(F.col(f"`{result.columns[0]}`").alias("actual")).limit(1)
     actual_type = first_cell.schema["actual"].dataType
     return first_cell.agg(F.max("actual").alias("actual")).select(
         F.lit(table_name).alias("table_name"),
-        F.lit(check_sql).alias("rule"),
+        F.lit(rule).alias("rule"),
         "actual",
         F.lit(expected).cast(actual_type).alias("expected"),
         F.col("actual").eqNullSafe(F.lit(expected)).alias("passed"),

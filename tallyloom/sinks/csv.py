@@ -36,7 +36,10 @@ def write_csv(
 
 
 def _write(df: DataFrame, path: str, header: bool, mode: str) -> None:
+    # The line of a row that is one NULL would be empty, and Spark leaves it out.
+    null_value = '""' if len(df.columns) == 1 else ""
     df.write.options(
+        nullValue=null_value,
         header=header,
         escape='"',
         ignoreLeadingWhiteSpace=False,  # Spark would trim what it writes

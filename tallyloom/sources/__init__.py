@@ -1,6 +1,6 @@
 from tallyloom.sources.catalog import name_for_sql, table_columns
 from tallyloom.sources.csv import read_csv
-from tallyloom.sources.files import find_file, list_files, read_files, read_landed
+from tallyloom.sources.files import find_file, list_files, read_files, read_landed, read_landed_csv
 from tallyloom.sources.jdbc import JdbcDatabase, read_jdbc
 
 __all__ = [
@@ -12,5 +12,6 @@ __all__ = [
     "read_files",
     "read_jdbc",
     "read_landed",
+    "read_landed_csv",
     "table_columns",
 ]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +56,27 @@ def read_landed(spark: SparkSession, target: str, file_name: str | None = None)
         spark.read.schema("value string, file_name string").option("lineSep", "\n").text(target)
     )
     return lines if file_name is None else lines.where(F.col("file_name") == file_name)
+
+
+def read_landed_csv(
+    spark: SparkSession, target: str, file_name: str, columns: Sequence[str], sep: str = ","
+) -> DataFrame:
+    """A landed CSV file as strings, without its header line, which must read ``columns``.
+
+    The landed parts of a large file have one header between them, so they cannot be
+    scanned as CSV files. As lines have no order, one line that equals the header is
+    left out; the second scan below finds any others, which are rows.
+    """
+    schema = ", ".join(f"`{c}` STRING" for c in columns)
+    lines = read_landed(spark, target, file_name).where(F.col("value") != "")
+    fields = F.from_csv("value", schema, {"sep": sep, "escape": '"'})
+    parsed = lines.select(fields.alias("fields")).select("fields.*")
+    is_header = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.lit(c)) for c in columns])
+    found = parsed.where(is_header).agg(F.count("*").alias("n"))
+    spare = found.select(
+        F.explode(
+            F.when(F.col("n") == 0, F.raise_error(F.lit(f"{file_name} has no such header")))
+            .when(F.col("n") > 1, F.sequence(F.lit(2), F.col("n")))
+        )
+    ).select(*[F.lit(c).alias(c) for c in columns])
+    return parsed.where(~is_header).unionByName(spare)

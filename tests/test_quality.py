@@ -5,6 +5,7 @@ from tallyloom.operators import (
     QualityError,
     constraint_rules,
     count_violations,
+    first_cell_rule,
     null_rules,
     require,
     row_count_rules,
@@ -42,6 +43,8 @@ def test_scalar_rule(spark):
         require(scalar_rule(spark, "four", "SELECT count(*) FROM four", 0))
     with pytest.raises(QualityError):
         require(scalar_rule(spark, "four", "SELECT id FROM four WHERE id > 9", 0))
+    require(scalar_rule(spark, "four", "SELECT id FROM four WHERE id > 9", None))
+    require(first_cell_rule(spark.range(1), "one", "its id", 0))
 
 
 def test_constraints(spark):

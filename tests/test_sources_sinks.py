@@ -15,6 +15,7 @@ from tallyloom.sources import (
     read_files,
     read_jdbc,
     read_landed,
+    read_landed_csv,
     table_columns,
 )
 
@@ -59,6 +60,14 @@ def test_any_text_round_trips(spark, tmp_path, data):
     assert rows(back) == sorted(data, key=str)
 
 
+def test_a_single_column_keeps_its_nulls(spark, tmp_path):
+    for kind in ("string", "int", "timestamp"):
+        df = spark.range(3).selectExpr(f"cast(nullif(id, 1) AS {kind}) AS c")
+        write_csv(df, str(tmp_path / kind))
+        back = read_csv(spark, str(tmp_path / kind), schema=df.schema, strict=True)
+        assert rows(back) == rows(df)
+
+
 def test_line_breaks_round_trip_with_multi_line(spark, tmp_path):
     df = spark.createDataFrame([("one\ntwo", "x"), ("three", None)], "a string, b string")
     write_csv(df, str(tmp_path / "breaks"))
@@ -178,6 +187,22 @@ def test_a_large_file_lands_in_several_tasks(spark, csv_file, tmp_path):
     assert landed.select("value").distinct().count() == landed.count() == 40_000
 
 
+def test_a_landed_file_reads_as_csv_again(spark, csv_file, tmp_path):
+    lines = ["sport,noc"] + [f'"a ""{i}"", b",K{i}' for i in range(5_000)] + ["", "sport,noc", ",x"]
+    path = csv_file("in/f.csv", "\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20KB")
+    try:
+        land_raw(spark, str(tmp_path / "in"), str(tmp_path / "raw"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(part_files(tmp_path / "raw" / "file_name=f.csv")) > 2
+    landed = read_landed_csv(spark, str(tmp_path / "raw"), "f.csv", ["sport", "noc"])
+    assert rows(landed) == rows(read_csv(spark, path))
+    assert ("sport", "noc") in rows(landed) and landed.count() == 5_002
+    with pytest.raises(Exception, match="no such header"):
+        read_landed_csv(spark, str(tmp_path / "raw"), "f.csv", ["noc", "sport"]).collect()
+
+
 def test_table_columns(spark, schema):
     spark.sql(f"CREATE TABLE {schema}.c (z INT, a STRING, M INT) USING parquet")
     assert table_columns(spark, f"{schema}.c") == ["z", "a", "M"]
