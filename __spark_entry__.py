@@ -52,6 +52,7 @@ from tallyloom.sources import (  # noqa: E402
     read_csv,
     read_files,
     read_landed,
+    read_landed_csv,
     table_columns,
 )
 
@@ -305,6 +306,13 @@ def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landed(spark, target).select("value")
 
 
+def landed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _read(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    target = scratch_dir(spark, "raw")
+    land_raw(spark, _export(events, "events"), target)
+    return read_landed_csv(spark, target, events.columns)
+
+
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _text_files(spark, sf_dir)
     return list_files(spark, path, glob="*.txt").agg(F.sum("length").alias("total_bytes"))
@@ -465,6 +473,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_scan_inferred": csv_scan_inferred,
         "csv_single_file": csv_single_file,
         "raw_landing": raw_landing,
+        "landed_csv": landed_csv,
         "file_listing": file_listing,
         "whole_files": whole_files,
         "table_columns": table_column_nulls,
@@ -559,6 +568,8 @@ def oracle_sql() -> dict[str, str]:
         "raw_landing": """
             select concat_ws(',', c_custkey, c_name, c_nationkey, c_mktsegment) as value
             from customer""",
+        "landed_csv": """
+            select cast(event_id as varchar) as event_id, event_type, props from events""",
         "file_listing": """
             select cast(sum(strlen(text) + 1) as bigint) as total_bytes from documents""",
         "whole_files": """

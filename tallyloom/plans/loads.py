@@ -93,11 +93,14 @@ def replace_table(
     moved. The old files go afterwards, unless ``keep_old`` leaves them to readers
     that are still running. Run one writer per table: another job's replacement in
     the meantime stops this one, but rows that it appends would be lost. A partitioned
-    table is refused: its partitions carry locations of their own.
+    table is refused, as its partitions carry locations of their own, and so is an
+    external one, whose location is not ours to change.
     """
     spark = df.sparkSession
     if any(column.isPartition for column in spark.catalog.listColumns(table)):
         raise ValueError(f"{table} is partitioned; replace_table needs an unpartitioned table")
+    if _detail(spark, table, "Type") != "MANAGED":
+        raise ValueError(f"{table} is external; replace_table needs a managed table")
     old = _location(spark, table)
     stage, new = _stage(spark, table)
     try:
@@ -240,11 +243,14 @@ def _stage(spark: SparkSession, table: str) -> tuple[str, str]:
     return stage, _location(spark, stage)
 
 
-def _drop_with_files(spark, table, location, like=None) -> None:
+def _drop_with_files(spark: SparkSession, table: str, location: str, like: str = "") -> None:
     """Remove ``location`` through a managed table, whose drop takes its files along."""
     holder = f"{table}_drop"
-    spark.sql(f"CREATE TABLE {holder} LIKE {like or table}")
-    spark.sql(f"ALTER TABLE {holder} SET LOCATION '{location}'")
-    drop_table(spark, holder)
-    if like is None:
+    # The second round removes the empty folder that the holder was created with.
+    for folder in (location, None):
+        spark.sql(f"CREATE TABLE {holder} LIKE {like or table}")
+        if folder:
+            spark.sql(f"ALTER TABLE {holder} SET LOCATION '{folder}'")
+        drop_table(spark, holder)
+    if not like:
         drop_table(spark, table)

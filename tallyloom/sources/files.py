@@ -59,24 +59,25 @@ def read_landed(spark: SparkSession, target: str, file_name: str | None = None)
 
 
 def read_landed_csv(
-    spark: SparkSession, target: str, file_name: str, columns: Sequence[str], sep: str = ","
+    spark: SparkSession,
+    target: str,
+    columns: Sequence[str],
+    file_name: str | None = None,
+    sep: str = ",",
 ) -> DataFrame:
-    """A landed CSV file as strings, without its header line, which must read ``columns``.
+    """Landed CSV files as strings, without their header lines, which must read ``columns``.
 
     The landed parts of a large file have one header between them, so they cannot be
-    scanned as CSV files. As lines have no order, one line that equals the header is
-    left out; the second scan below finds any others, which are rows.
+    scanned as CSV files. As lines have no order, one line per file that equals the
+    header is left out; the second scan below finds any others, which are rows.
     """
     schema = ", ".join(f"`{c}` STRING" for c in columns)
-    lines = read_landed(spark, target, file_name).where(F.col("value") != "")
     fields = F.from_csv("value", schema, {"sep": sep, "escape": '"'})
-    parsed = lines.select(fields.alias("fields")).select("fields.*")
-    is_header = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.lit(c)) for c in columns])
-    found = parsed.where(is_header).agg(F.count("*").alias("n"))
-    spare = found.select(
-        F.explode(
-            F.when(F.col("n") == 0, F.raise_error(F.lit(f"{file_name} has no such header")))
-            .when(F.col("n") > 1, F.sequence(F.lit(2), F.col("n")))
-        )
-    ).select(*[F.lit(c).alias(c) for c in columns])
-    return parsed.where(~is_header).unionByName(spare)
+    lines = read_landed(spark, target, file_name).where(F.col("value") != "")
+    parsed = lines.select("file_name", fields.alias("fields"))
+    is_header = reduce(and_, [F.col(f"fields.`{c}`").eqNullSafe(F.lit(c)) for c in columns])
+    headers = parsed.groupBy("file_name").agg(F.count(F.when(is_header, 1)).alias("n"))
+    missing = F.raise_error(F.concat("file_name", F.lit(" has no such header")))
+    others = F.when(F.col("n") == 0, missing).when(F.col("n") > 1, F.sequence(F.lit(2), "n"))
+    spare = headers.select(F.explode(others)).select(*[F.lit(c).alias(c) for c in columns])
+    return parsed.where(~is_header).select("fields.*").unionByName(spare)
