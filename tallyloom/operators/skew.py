@@ -1,0 +1,36 @@
+"""A join that keeps keys with very many rows out of the shuffle."""
+
+from __future__ import annotations
+
+from typing import Any
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_KEYS = 1_000  # a key is hot from one in this many rows; so there are at most as many
+_TRACKED = 16_384  # sketch size; finds every key above about 1 in 2,500 rows
+
+
+def hot_keys(df: DataFrame, key: str) -> list[Any]:
+    """The hot keys, found by a sketch in one pass over the key column, without a shuffle.
+
+    A key near the limit may be listed or not; that only moves it between two ways to
+    the same result.
+    """
+    sketch = F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {_TRACKED})")
+    rows, top = df.where(F.col(key).isNotNull()).agg(F.count("*"), sketch).first()
+    return [found["item"] for found in top if found["count"] * HOT_KEYS >= rows]
+
+
+def join_unique(many: DataFrame, unique: DataFrame, key: str) -> DataFrame:
+    """The inner join on ``key`` of ``many`` to ``unique``, which has one row per key.
+
+    The rows of ``unique`` with hot keys of ``many`` are at most ``HOT_KEYS``; they
+    are broadcast and the hot rows stay where they are. All other keys are shuffled.
+    """
+    hot = hot_keys(many, key)
+    if not hot:
+        return many.join(unique.hint("merge"), key)
+    is_hot = F.col(key).isin(hot)
+    rest = many.where(~is_hot).join(unique.where(~is_hot).hint("merge"), key)
+    return rest.unionByName(many.where(is_hot).join(F.broadcast(unique.where(is_hot)), key))

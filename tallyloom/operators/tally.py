@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.size import fits
+from tallyloom.operators.skew import join_unique
 
-_KEY, _COPIES, _SALT = "__key", "__copies", "__salt"
+_KEY, _COPIES = "__key", "__copies"
 
 
 def _predicates(
@@ -59,7 +60,6 @@ def tally(
     total: str = "total",
     key_value: Any = None,
     broadcast_bytes: int = 64 << 20,
-    salts: int = 8,
 ) -> DataFrame:
     """:func:`count_outcomes` over the inner join of ``fact`` to ``dim``.
 
@@ -67,44 +67,43 @@ def tally(
     single key. ``group`` is a column of either side, ``outcome`` one of the fact.
     A key that the dimension holds several times multiplies the counts, as the
     join would; the copies are counted first and used as a weight, so the repeated
-    rows never exist.
+    rows never exist. Where a key of the dimension has several groups, it is the
+    fact that is counted first, per key, so no row is paired with all of them.
 
     The dimension is broadcast when it is one row (``key_value`` with a group of
     the fact) or when a measuring job over the columns used finds that they fit
-    ``broadcast_bytes``. Otherwise the fact is counted before it meets the
-    dimension, so a hot key shrinks to its distinct groups, and those are spread
-    over ``salts`` tasks.
+    ``broadcast_bytes``. Otherwise the join is :func:`join_unique`.
     """
     fact_key, dim_key = (on, on) if isinstance(on, str) else on
     predicates = _predicates(outcome, outcomes, not_value, total)
-    fact_groups = [group] if group.lower() in map(str.lower, fact.columns) else []
-    dim_groups = [] if fact_groups else [group]
+    dim_groups = [] if group.lower() in map(str.lower, fact.columns) else [group]
 
     used = dim.select(F.col(dim_key).alias(_KEY), *dim_groups).where(F.col(_KEY).isNotNull())
     if key_value is not None:
         used = used.where(F.col(_KEY) == F.lit(key_value).cast(used.schema[_KEY].dataType))
     copies = used.groupBy(*used.columns).agg(F.count("*").alias(_COPIES))
-
-    one_row = key_value is not None and not dim_groups
-    if one_row or fits(used, broadcast_bytes):
-        joined = fact.join(F.broadcast(copies), fact[fact_key] == copies[_KEY])
-        return joined.groupBy(group).agg(
-            *[
-                F.sum(F.when(p, F.col(_COPIES)).otherwise(0)).alias(name)
-                for name, p in predicates.items()
-            ]
+    rows = fact.withColumn(_KEY, F.col(fact_key))
+
+    if (key_value is not None and not dim_groups) or fits(used, broadcast_bytes):
+        copies = F.broadcast(copies)
+        by_fact = not dim_groups or _one_row_per_key(copies)
+        join = DataFrame.join
+    else:
+        by_fact = not dim_groups
+        join = join_unique
+
+    if by_fact:
+        needed = rows.select(*dict.fromkeys([_KEY, outcome, *([] if dim_groups else [group])]))
+        weights = {n: F.when(p, F.col(_COPIES)).otherwise(0) for n, p in predicates.items()}
+        joined = join(needed, copies, _KEY)
+    else:
+        per_key = rows.groupBy(_KEY).agg(
+            *[F.count(F.when(p, 1)).alias(n) for n, p in predicates.items()]
         )
+        weights = {n: F.col(n) * F.col(_COPIES) for n in predicates}
+        joined = join(copies, per_key, _KEY)
+    return joined.groupBy(group).agg(*[F.sum(w).alias(n) for n, w in weights.items()])
 
-    counted = fact.groupBy(F.col(fact_key).alias(_KEY), *fact_groups).agg(
-        *[F.count(F.when(p, 1)).alias(name) for name, p in predicates.items()]
-    )
-    salt = F.pmod(F.hash(group), F.lit(salts)).alias(_SALT)
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(_SALT)
-    left = counted.select("*", salt if fact_groups else every_salt)
-    right = copies.select("*", every_salt if fact_groups else salt)
-    # Found too large above, so it must not be broadcast on an estimate either.
-    return (
-        left.join(right.hint("merge"), [_KEY, _SALT])
-        .groupBy(group)
-        .agg(*[F.sum(F.col(name) * F.col(_COPIES)).alias(name) for name in predicates])
-    )
+
+def _one_row_per_key(copies: DataFrame) -> bool:
+    return copies.groupBy(_KEY).count().where(F.col("count") > 1).isEmpty()

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tallyloom.operators import count_outcomes, tally
+from tallyloom.operators.skew import hot_keys, join_unique
 from tallyloom.plans import MEDALS
 from tallyloom.sources import name_for_sql, read_csv
 
@@ -88,7 +89,7 @@ def test_every_way_equals_the_plain_join(spark, fact, dim):
     spec = {k: v for k, v in MEDALS.items() if k != "key_value"}
     expected = sorted(spark.sql(SQL.format(where="")).collect(), key=str)
     broadcast = tally(fact, dim, **spec)
-    shuffled = tally(fact, dim, **spec, broadcast_bytes=0, salts=3)
+    shuffled = tally(fact, dim, **spec, broadcast_bytes=0)
     assert sorted(broadcast.collect(), key=str) == expected
     assert sorted(shuffled.collect(), key=str) == expected
     assert all(r.total >= r.gold + r.silver + r.bronze for r in expected)
@@ -119,8 +120,10 @@ def test_shuffled_join_of_a_hot_key(spark):
     dim = spark.range(20_000).selectExpr("id AS noc").unionAll(spark.range(1).toDF("noc"))
     spec = {k: v for k, v in MEDALS.items() if k != "key_value"}
     expected = rows(tally(fact, dim, **spec))
+    assert hot_keys(fact, "noc") == [0]
     result = tally(fact, dim, **spec, broadcast_bytes=0)
-    assert "SortMergeJoin" in plan(result)
+    # The hot key's rows meet a broadcast row; the others are shuffled.
+    assert plan(result).count("SortMergeJoin") == plan(result).count("BroadcastHashJoin") == 1
     assert rows(result) == expected
     # 10,000 rows of the hot key count twice.
     assert sum(r[1] for r in expected) == 5_000 * 2 + sum(
@@ -128,6 +131,45 @@ def test_shuffled_join_of_a_hot_key(spark):
     )
 
 
+def test_hot_dimension_key_with_many_groups(spark):
+    """A third of the dimension's rows share a key, and so do a third of the fact's."""
+    fact = spark.range(3_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS noc",
+        "CASE WHEN id % 2 = 0 THEN 'Gold' ELSE 'NA' END AS medal",
+    )
+    dim = spark.range(9_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS noc", "id % 50 AS sport"
+    )
+    spec = {k: v for k, v in MEDALS.items() if k != "key_value"}
+    name_for_sql({"golden_fact": fact, "golden_dim": dim})
+    expected = rows(spark.sql(SQL.format(where="")))
+    for limit in (64 << 20, 0):
+        assert rows(tally(fact, dim, **spec, broadcast_bytes=limit)) == expected
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "double", "date", "decimal(9,2)", "timestamp"])
+def test_join_unique(spark, kind):
+    key = f"cast(CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS {kind})"
+    if kind in ("date", "timestamp"):
+        day = "DATE '2020-01-01' + cast(CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS int)"
+        key = f"cast({day} AS {kind})"
+    many = spark.range(6_000).selectExpr(f"nullif({key}, {key.replace('id', '5')}) AS k", "id AS v")
+    unique = spark.range(3_000).where("id % 3 <> 0 OR id = 0").selectExpr(f"{key} AS k", "id AS u")
+    assert len(hot_keys(many, "k")) == 1
+    joined = join_unique(many, unique, "k")
+    assert rows(joined) == rows(many.join(unique, "k"))
+    assert joined.count() == 2_000 + 2_000 - 1
+
+
+def test_many_hot_keys_and_none(spark):
+    many = spark.range(10_000).selectExpr("id % 500 AS k", "id AS v")
+    unique = spark.range(400).selectExpr("id AS k", "id AS u")
+    assert len(hot_keys(many, "k")) == 500
+    assert join_unique(many, unique, "k").count() == 8_000
+    assert hot_keys(many.limit(0), "k") == []
+    assert join_unique(many.limit(0), unique, "k").count() == 0
+
+
 def test_plan_filters_both_scans_and_broadcasts(spark, tmp_path):
     spark.range(100).selectExpr(
         "'s' AS sport", "cast(id % 5 AS string) AS noc", "'Gold' AS medal", "id AS other"
