@@ -45,4 +45,4 @@ def test_plans_have_no_pairs_and_no_python(spark, name):
 def test_scans_read_only_the_columns_used(spark, name, columns):
     plan = registry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     read = re.findall(r"FileScan parquet \[(.*?)\]", plan)
-    assert sorted(c.split("#")[0] for scan in read for c in scan.split(",") if c) == sorted(columns)
+    assert {c.split("#")[0] for scan in read for c in scan.split(",") if c} == set(columns)
