@@ -8,9 +8,13 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from functools import reduce
+
+from pyspark.sql import DataFrame
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tallyloom.operators import null_rules, require, row_count_rules  # noqa: E402
 from tallyloom.plans import load, local_extract, refresh  # noqa: E402
 from tallyloom.session import get_session, object_store_conf  # noqa: E402
 from tallyloom.sources import JdbcDatabase  # noqa: E402
@@ -42,6 +46,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     job.add_argument("--key", nargs="+", default=[])
     job.add_argument("--order", nargs="+", default=[])
     job.add_argument("--columns", nargs="+")
+
+    job = jobs.add_parser("check", help="check tables, stop when a rule fails")
+    job.add_argument("--tables", required=True, nargs="+")
+    job.add_argument("--min-rows", type=int, default=0)
+    job.add_argument("--not-null", nargs="+", default=[], help="columns of every table")
     return parser.parse_args(argv)
 
 
@@ -56,6 +65,12 @@ def main(argv: list[str] | None = None) -> None:
         ).show()
     elif args.job == "extract":
         local_extract(spark, args.fact, args.dim, args.result).show()
+    elif args.job == "check":
+        tables = {name: spark.table(name) for name in args.tables}
+        require(row_count_rules(tables, args.min_rows))
+        if args.not_null:
+            rules = [null_rules(df, name, args.not_null) for name, df in tables.items()]
+            require(reduce(DataFrame.unionByName, rules))
     else:
         load(
             spark,

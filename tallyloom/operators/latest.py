@@ -19,7 +19,8 @@ def latest_per_key(
 
     Names in ``order`` and ``ties`` sort descending, with NULL ahead of every
     value unless ``nulls_first`` is off; a sort expression such as
-    ``F.col("a").asc()`` is taken as it is. NULL keys are one key. Rows that stay
+    ``F.asc("a")`` is taken as it is, and stands for the ``a`` of SQL's
+    ``ORDER BY a, b DESC``. NULL keys are one key. Rows that stay
     equal are told apart arbitrarily, so give ``ties`` where that matters.
 
     Spark keeps the best row per key in each input task before it shuffles

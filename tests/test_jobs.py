@@ -113,5 +113,13 @@ def test_command_line(spark, csv_file, tmp_path, schema, capsys):
         latest = ["--mode", "keep_latest", "--key", "noc", "--order", "noc"]
         main(["load", "--table", f"{schema}.noc", "--paths", dim, *latest])
     assert rows(spark.table(f"{schema}.noc")) == {("KOR",), ("USA",)}
+    check = ["check", "--tables", f"{schema}.noc", f"{schema}.medals"]
+    main(check)
+    main([*check[:3], "--not-null", "noc"])
+    with pytest.raises(QualityError, match="row_count=2"):
+        main([*check, "--min-rows", "3"])
+    spark.sql(f"INSERT INTO {schema}.noc VALUES (NULL)")
+    with pytest.raises(QualityError, match="rule=noc, actual=1"):
+        main([*check[:3], "--not-null", "noc"])
     with pytest.raises(SystemExit):
         main(["load", "--table", "t"])
