@@ -10,12 +10,13 @@ from pyspark.sql import SparkSession
 def land_raw(
     spark: SparkSession, source: str | Sequence[str], target: str, glob: str = "*.csv"
 ) -> None:
-    """Copy the lines of each matching file in the ``source`` folders to ``target/file_name=<name>``.
+    """Copy the lines of each matching file to ``target/file_name=<name>``.
 
-    A file landed before under the same name is replaced, the others stay. Lines
-    are kept byte for byte; where one input file is large, several tasks each
-    write a part of it, so the order of its lines is not kept and an empty file
-    lands nothing.
+    Files are taken from the ``source`` folders, not from plain folders inside them,
+    and are told apart by name alone. A file landed before under the same name is
+    replaced, the others stay. Lines are kept byte for byte; where one input file is
+    large, several tasks each write a part of it, so the order of its lines is not
+    kept. An empty file lands nothing.
     """
     lines = (
         spark.read.option("pathGlobFilter", glob)

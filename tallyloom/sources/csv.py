@@ -47,13 +47,14 @@ def read_csv(
     """Read delimited files; without ``schema`` or ``infer`` every column is a string.
 
     An empty field is NULL, in quotes too; with a ``nullValue`` that never occurs,
-    such as ``\\N``, quotes make it an empty string. With ``schema`` fields go by position and the header
-    line is only skipped. ``infer`` reads the files once more to guess the types.
-    ``trim`` strips blanks around unquoted values. ``strict`` raises on a row that
-    does not fit the schema, once its columns are read: a bare ``count()`` reads
-    none. ``escape`` is the quote itself, as :func:`tallyloom.sinks.write_csv`
-    writes; pass a backslash for Spark's own reading. A field with a line break in
-    it needs ``multiLine``, which gives each file to one task.
+    such as ``\\N``, quotes make it an empty string. With ``schema`` fields go by
+    position and the header line is only skipped. ``infer`` reads the files once
+    more to guess the types. ``trim`` strips blanks around unquoted values.
+    ``strict`` raises on a row that does not fit the schema, once its columns are
+    read: a bare ``count()`` reads none. ``escape`` is the quote itself, as
+    :func:`tallyloom.sinks.write_csv` writes; pass a backslash for Spark's own
+    reading. A field with a line break in it needs ``multiLine``, which gives each
+    file to one task.
     """
     unknown = sorted(set(options) - READ_OPTIONS)
     if unknown:
