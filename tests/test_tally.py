@@ -170,6 +170,19 @@ def test_many_hot_keys_and_none(spark):
     assert join_unique(many.limit(0), unique, "k").count() == 0
 
 
+def test_hot_keys_of_many_partitions_without_adaptive_execution(spark):
+    many = spark.range(0, 40_000, 1, 40).selectExpr(
+        "CASE WHEN id % 4 = 0 THEN 'x' WHEN id < 500 THEN 'y' ELSE cast(id AS string) END AS k"
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert sorted(hot_keys(many, "k")) == ["x", "y"]
+        assert hot_keys(many.where("k = 'none'"), "k") == []
+        assert hot_keys(many.selectExpr("cast(null AS string) AS k"), "k") == []
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_plan_filters_both_scans_and_broadcasts(spark, tmp_path):
     spark.range(100).selectExpr(
         "'s' AS sport", "cast(id % 5 AS string) AS noc", "'Gold' AS medal", "id AS other"
