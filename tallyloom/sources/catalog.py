@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def table_columns(spark: SparkSession, table: str) -> list[str]:
-    """The table's column names in ordinal order."""
-    return spark.table(table).columns
+    """The table's column names in ordinal order, from the catalog alone."""
+    return [column.name for column in spark.catalog.listColumns(table)]
 
 
 def name_for_sql(frames: Mapping[str, DataFrame]) -> None:

@@ -210,6 +210,10 @@ def test_a_landed_file_reads_as_csv_again(spark, csv_file, tmp_path):
 def test_table_columns(spark, schema):
     spark.sql(f"CREATE TABLE {schema}.c (z INT, a STRING, M INT) USING parquet")
     assert table_columns(spark, f"{schema}.c") == ["z", "a", "M"]
+    spark.sql(f"CREATE TABLE {schema}.p (z INT, a STRING) USING parquet PARTITIONED BY (z)")
+    assert table_columns(spark, f"{schema}.p") == spark.table(f"{schema}.p").columns == ["a", "z"]
+    spark.range(1).createOrReplaceTempView("a_view")
+    assert table_columns(spark, "a_view") == ["id"]
 
 
 # --- JDBC, as far as it goes without a database --------------------------------
