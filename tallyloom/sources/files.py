@@ -26,11 +26,14 @@ def list_files(
 
 
 def find_file(spark: SparkSession, path: str) -> DataFrame:
-    """The attributes of the one file at ``path``; raises when there is none.
+    """The attributes of the one file at ``path``; raises when nothing is there.
 
-    Only that path is asked for, so the size of the folder does not matter.
+    Only that path is asked for, so the size of its folder does not matter. A folder
+    at ``path`` gives no row.
     """
-    return spark.read.format("binaryFile").load(path).select(*_ATTRIBUTES)
+    reader = spark.read.format("binaryFile")
+    name = path.rstrip("/").rpartition("/")[2]
+    return reader.option("pathGlobFilter", name).load(path).select(*_ATTRIBUTES)
 
 
 def read_files(

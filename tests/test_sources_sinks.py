@@ -152,6 +152,7 @@ def test_list_find_and_read(spark, csv_file, tmp_path):
     assert list_files(spark, source, glob="*.csv").count() == 2
     assert list_files(spark, source, glob="*.csv", recursive=False).count() == 1
     assert [r[1] for r in rows(find_file(spark, f"{source}/c.txt"))] == [1]
+    assert find_file(spark, source).count() == find_file(spark, f"{source}/").count() == 0
     with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
         find_file(spark, f"{source}/none.txt")
     assert {r.content for r in read_files(spark, source).collect()} == {"é\n1\n", "b\n", "c"}
