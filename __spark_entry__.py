@@ -223,8 +223,12 @@ def load_keep_latest(spark: SparkSession, sf_dir: str, table_unique: bool = Fals
         F.concat("o_orderstatus", F.lit("2")).alias("o_orderstatus"),
         F.lit(1).alias("version"),
     )
+    ties = ["o_custkey", "o_orderstatus"]
+    start = orders.withColumn("version", F.lit(0))
+    if table_unique:
+        start = latest_per_key(start, ["o_orderkey"], ["version"], ties)
     table = f"{_schema(spark, 'latest')}.orders"
-    create_table_as(orders.withColumn("version", F.lit(0)), table)
+    create_table_as(start, table)
     load(
         spark,
         table,
@@ -232,6 +236,7 @@ def load_keep_latest(spark: SparkSession, sf_dir: str, table_unique: bool = Fals
         mode="keep_latest",
         key=["o_orderkey"],
         order=["version"],
+        ties=ties,
         table_unique=table_unique,
         constraints=Constraints(not_null=("o_orderkey",), key=("o_orderkey",)),
     )
@@ -239,7 +244,7 @@ def load_keep_latest(spark: SparkSession, sf_dir: str, table_unique: bool = Fals
 
 
 def load_keep_latest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same load into a table known to hold one row per key."""
+    """The same load into a table that holds one row per key."""
     return load_keep_latest(spark, sf_dir, table_unique=True)
 
 
@@ -508,10 +513,15 @@ _TALLY_WHOLE = f"""
     from lineitem l join supplier s on s.s_suppkey = l.l_suppkey group by 1
 """
 _KEEP_LATEST = """
-    select o_orderkey, o_custkey,
-        case when o_orderpriority = '1-URGENT' then o_orderstatus || '2'
-             else o_orderstatus end as o_orderstatus
-    from orders
+    select o_orderkey, o_custkey, o_orderstatus from (
+        select *, row_number() over (partition by o_orderkey
+            order by version desc, o_custkey desc, o_orderstatus desc) as n
+        from (
+            select o_orderkey, o_custkey, o_orderstatus, 0 as version from orders
+            union all
+            select o_orderkey, o_custkey, o_orderstatus || '2', 1 from orders
+            where o_orderpriority = '1-URGENT'
+        ) a) b where n = 1
 """
 
 
