@@ -56,6 +56,13 @@ from tallyloom.sources import (  # noqa: E402
     table_columns,
 )
 
+# The training-data operators and their pipeline are there or not as a whole.
+try:
+    import corpus_pipeline as _pipeline
+    from tallyloom.llm import queries as _llm
+except ModuleNotFoundError:
+    _pipeline = _llm = None
+
 # The medal tally's shape on lineitem and supplier.
 FLAGS = {
     "on": "noc",
@@ -458,6 +465,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    more = {**_llm.QUERIES, "pipeline": _pipeline.run} if _llm else {}
+    return core_queries() | more
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries of the reference's own operators."""
     return {
         "tally": tally_one_key,
         "tally_sql": tally_sql,
@@ -526,6 +539,10 @@ _KEEP_LATEST = """
 
 
 def oracle_sql() -> dict[str, str]:
+    return core_oracle_sql() | (_llm.ORACLE_SQL if _llm else {})
+
+
+def core_oracle_sql() -> dict[str, str]:
     return {
         "tally": _TALLY,
         "tally_sql": _TALLY,

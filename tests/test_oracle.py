@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as registry
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
+QUERIES, ORACLES = registry.core_queries(), registry.core_oracle_sql()
 
 
 @pytest.fixture(scope="module")
