@@ -74,14 +74,19 @@ def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "id", "hash", "n", "sid"])
 
 
-BLOBS = "part int, h binary, i binary, ids binary"
+BLOBS = "part int, h binary, i binary, ids binary, ns binary"
 
 
 def _blobs(parts: int, of: Callable[[np.ndarray], np.ndarray], limit: int = 1_500_000):
     """Sets, many at a time, dealt out by hash: for each part its hashes, and whose they are."""
 
-    def flush(sets: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        ids = np.array(list(sets), np.int64)
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        types = [pa.int32(), *[pa.binary()] * 4]
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["part", "h", "i", "ids", "ns"])
+
+    def flush(sets: dict[int, np.ndarray], sizes: list[int]) -> Iterator[pa.RecordBatch]:
+        ids, ns = np.array(list(sets), np.int64), np.array(sizes, np.int64)
         h = np.concatenate(list(sets.values()))
         own = np.repeat(np.arange(len(ids), dtype=np.uint32), [len(s) for s in sets.values()])
         part = (h % np.uint64(parts)).astype(np.int64)
@@ -94,94 +99,132 @@ def _blobs(parts: int, of: Callable[[np.ndarray], np.ndarray], limit: int = 1_50
             if b > a:
                 used, inverse = np.unique(own[a:b], return_inverse=True)
                 inverse = inverse.astype(np.uint32)
-                rows.append((p, h[a:b].tobytes(), inverse.tobytes(), ids[used].tobytes()))
-            if rows and (len(rows) == 64 or p == parts - 1):
-                types = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["part", "h", "i", "ids"])
+                blobs = (h[a:b], inverse, ids[used], ns[used])
+                rows.append((p, *(x.tobytes() for x in blobs)))
+            if len(rows) == 64:
+                yield batch_of(rows)
                 rows = []
         if rows:
-            types = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["part", "h", "i", "ids"])
+            yield batch_of(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[int, np.ndarray] = {}
+        sizes: list[int] = []
         total = 0
         for batch in batches:
             for hashes in shingle_sets(batch.column(0)):
                 if len(hashes) and (sid := set_id(hashes)) not in sets:
                     sets[sid] = of(hashes)
+                    sizes.append(len(hashes))
                     total += len(sets[sid])
                 if total >= limit:
-                    yield from flush(sets)
-                    sets, total = {}, 0
+                    yield from flush(sets, sizes)
+                    sets, sizes, total = {}, [], 0
         if sets:
-            yield from flush(sets)
+            yield from flush(sets, sizes)
 
     return run
 
 
-def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (hash, set) of a part, sorted, and the number of sets that have the hash."""
-    rows = zip(*(table.column(c).to_pylist() for c in ("h", "i", "ids")), strict=True)
-    parts = [
-        (np.frombuffer(h, np.uint64), np.frombuffer(ids, np.int64)[np.frombuffer(i, np.uint32)])
-        for h, i, ids in rows
-    ]
-    h = np.concatenate([p[0] for p in parts])
-    sid = np.concatenate([p[1] for p in parts])
+def _gathered(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Distinct (hash, set, size) of a part, sorted, and the number of sets that have the hash."""
+    parts = []
+    for h, i, ids, ns in zip(*(table.column(c).to_pylist() for c in ("h", "i", "ids", "ns")), strict=True):
+        own = np.frombuffer(i, np.uint32)
+        ids, ns = np.frombuffer(ids, np.int64)[own], np.frombuffer(ns, np.int64)[own]
+        parts.append((np.frombuffer(h, np.uint64), ids, ns))
+    h, sid, n = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((sid, h))
-    h, sid = h[order], sid[order]
+    h, sid, n = h[order], sid[order], n[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (sid[1:] != sid[:-1])
-    h, sid = h[new], sid[new]
+    h, sid, n = h[new], sid[new], n[new]
     starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
     counts = np.diff(np.append(starts, len(h)))
-    return h, sid, np.repeat(counts, counts)
+    return h, sid, n, np.repeat(counts, counts)
+
+
+COUNTS = "owner int, sid binary, k binary"
+
+
+def _owner(sid: np.ndarray, owners: int) -> np.ndarray:
+    return (mix(sid.view(np.uint64)) % np.uint64(owners)).astype(np.int64)
+
+
+def _dealt(schema: str, owner: np.ndarray, owners: int, columns: list[np.ndarray]) -> pa.Table:
+    """One row per owner with its values of the columns, each as bytes."""
+    order = np.argsort(owner, kind="stable")
+    columns = [c[order] for c in columns]
+    edges = np.searchsorted(owner[order], np.arange(owners + 1))
+    rows = [
+        (o, *(c[edges[o] : edges[o + 1]].tobytes() for c in columns))
+        for o in range(owners)
+        if edges[o + 1] > edges[o]
+    ]
+    lists = list(zip(*rows, strict=True)) or [[]] * (1 + len(columns))
+    types = [pa.int32(), *[pa.binary()] * len(columns)]
+    names = [part.split()[0] for part in schema.split(", ")]
+    return pa.table([pa.array(c, t) for c, t in zip(lists, types, strict=True)], names)
+
+
+def _count_shared(owners: int) -> Callable[[pa.Table], pa.Table]:
+    """How many hashes of each set of a part another set has too, dealt out by set."""
+
+    def run(table: pa.Table) -> pa.Table:
+        _, sid, _, count = _gathered(table)
+        ids, found = np.unique(sid[count > 1], return_counts=True)
+        return _dealt(COUNTS, _owner(ids, owners), owners, [ids, found.astype(np.int64)])
+
+    return run
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """The counts of each set over all parts."""
+    sid, k = (
+        np.concatenate([np.frombuffer(x, np.int64) for x in table.column(name).to_pylist()])
+        for name in ("sid", "k")
+    )
+    ids, at = np.unique(sid, return_inverse=True)
+    return pa.table({"sid": ids, "k": np.bincount(at, k, len(ids)).astype(np.int64)})
 
 
-def _count_shared(table: pa.Table) -> pa.Table:
-    """For each set of a part, how many of its hashes another set has too."""
-    _, sid, count = _gathered(table)
-    ids, found = np.unique(sid[count > 1], return_counts=True)
-    return pa.table({"sid": ids, "k": found.astype(np.int64)})
+FOUND = "owner int, sid binary, n binary, h binary, d binary"
 
 
-def _frequencies(table: pa.Table) -> pa.Table:
-    """For each set of a part, its hashes that another set has too, and how many have them."""
-    h, sid, count = _gathered(table)
-    order = np.flatnonzero(count > 1)
-    order = order[np.argsort(sid[order], kind="stable")]
-    h, sid, count = h[order], sid[order], count[order]
-    starts = np.flatnonzero(np.concatenate([[True], sid[1:] != sid[:-1]])) if len(sid) else []
-    edges = [*map(int, starts), len(sid)]
-    spans = list(zip(edges[:-1], edges[1:], strict=True))
+def _frequencies(owners: int) -> Callable[[pa.Table], pa.Table]:
+    """The hashes of a part that several sets have, dealt out by set, with the sets' number."""
+
+    def run(table: pa.Table) -> pa.Table:
+        h, sid, n, count = _gathered(table)
+        several = count > 1
+        columns = [x[several] for x in (sid, n, h, count.astype(np.int64))]
+        return _dealt(FOUND, _owner(columns[0], owners), owners, columns)
+
+    return run
+
+
+def _ordered(table: pa.Table) -> pa.Table:
+    """Sets that can still have partners, their shared hashes rarest first."""
+    kinds = {"sid": np.int64, "n": np.int64, "h": np.uint64, "d": np.int64}
+    sid, n, h, d = (
+        np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
+        for name, kind in kinds.items()
+    )
+    order = np.lexsort((h, d, sid))
+    sid, n, h, d = sid[order], n[order], h[order], d[order]
+    starts = np.flatnonzero(np.concatenate([[True], sid[1:] != sid[:-1]]))
+    ends = np.append(starts[1:], len(sid))
+    spans = [(a, b) for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if b - a >= need(n[a])]
     return pa.table(
         {
-            "sid": pa.array([int(sid[a]) for a, _ in spans], pa.int64()),
+            "sid": pa.array([sid[a] for a, _ in spans], pa.int64()),
+            "n": pa.array([n[a] for a, _ in spans], pa.int64()),
             "h": pa.array([h[a:b].tobytes() for a, b in spans], pa.binary()),
-            "d": pa.array([count[a:b].astype(np.int64).tobytes() for a, b in spans], pa.binary()),
+            "d": pa.array([d[a:b].tobytes() for a, b in spans], pa.binary()),
         }
     )
 
 
-def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets that can still have partners, their shared hashes rarest first."""
-    for batch in batches:
-        rows: list[tuple] = []
-        for sid, n, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            h = np.concatenate([np.frombuffer(p["h"], np.uint64) for p in parts])
-            d = np.concatenate([np.frombuffer(p["d"], np.int64) for p in parts])
-            if len(h) >= need(n):
-                order = np.lexsort((h, d))
-                rows.append((sid, n, h[order].tobytes(), d[order].tobytes()))
-        if rows:
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["sid", "n", "h", "d"])
-
-
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(hash, size band, set) of each set's prefix of rare hashes.
 
@@ -392,29 +435,25 @@ def _linked(texts: DataFrame, classes: DataFrame, group_bytes: int) -> DataFrame
     """(node, root) of all sets that are linked with another."""
     n_head = F.col("n") - F.floor((3 * F.col("n") + 3) / 4) + F.floor((F.col("n") + 9) / 10)
     total = classes.agg(F.sum(n_head)).first()[0]
-    heads = texts.select("text").mapInArrow(
-        _blobs(_parts(total), lambda s: s[: head(len(s))]), BLOBS
-    )
-    counts = heads.groupBy("part").applyInArrow(_count_shared, "sid long, k long")
+    parts = _parts(total)
+    heads = texts.select("text").mapInArrow(_blobs(parts, lambda s: s[: head(len(s))]), BLOBS)
+    counts = heads.groupBy("part").applyInArrow(_count_shared(parts), COUNTS)
+    summed = counts.groupBy("owner").applyInArrow(_summed, "sid long, k long")
     least = F.floor((F.floor((3 * F.col("n") + 3) / 4) + 9) / 10)
     may_link = materialize(
-        counts.groupBy("sid").agg(F.sum("k").alias("k")).join(classes, "sid").where(F.col("k") >= least)
-        .select("sid", "n", "key.id", "key.hash"),
+        summed.join(classes, "sid").where(F.col("k") >= least).select("sid", "n", "key.id", "key.hash"),
         "sets",
-    )
+    )
 
     total = may_link.agg(F.sum("n")).first()[0]
     some = broadcast_if_small(may_link.select("id", "hash"))
-    full = texts.join(some, ["id", "hash"]).select("text").mapInArrow(
-        _blobs(_parts(total), lambda s: s), BLOBS
-    )
-    shared_by = full.groupBy("part").applyInArrow(_frequencies, "sid long, h binary, d binary")
-    collected = shared_by.groupBy("sid").agg(F.collect_list(F.struct("h", "d")).alias("parts"))
+    parts = _parts(total)
+    full = texts.join(some, ["id", "hash"]).select("text").mapInArrow(_blobs(parts, lambda s: s), BLOBS)
+    shared_by = full.groupBy("part").applyInArrow(_frequencies(parts), FOUND)
     sets = materialize(
-        collected.join(may_link.select("sid", "n"), "sid").select("sid", "n", "parts")
-        .mapInArrow(_ordered, "sid long, n long, h binary, d binary"),
+        shared_by.groupBy("owner").applyInArrow(_ordered, "sid long, n long, h binary, d binary"),
         "sets",
-    )
+    )
 
     places = materialize(sets.mapInArrow(_prefixes, "h long, band long, sid long"), "prefixes")
     leaders = places.groupBy("h", "band").agg(F.min("sid").alias("leader"), F.count("*").alias("m"))
