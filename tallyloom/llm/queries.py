@@ -13,6 +13,7 @@ from tallyloom.llm.fm_classifier import fit, score
 from tallyloom.llm.line_chunks import dedup_lines
 from tallyloom.llm.ngram_trie import near_duplicates
 from tallyloom.llm.pii import personal_data
+from tallyloom.llm.prefix_free import remove_repeats
 from tallyloom.llm.secrets import find_secrets
 from tallyloom.llm.spaced_seeds import contamination
 from tallyloom.llm.store import reach_workers
@@ -36,6 +37,10 @@ def op3_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility_rules(_read(spark, sf_dir, "documents"))
 
 
+def op4_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_read(spark, sf_dir, "documents"))
+
+
 def op5_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return score(docs, fit(docs, _read(spark, sf_dir, "labels")))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_secret_battery,
         op2_ngram_trie_join,
         op3_fertility_rules,
+        op4_prefix_free_dedup,
         op5_factorisation_quality,
         op6_line_chunk_dedup,
         op7_token_packing,
