@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.store import broadcast_if_small, materialize
+from tallyloom.llm.store import materialize
 from tallyloom.llm.words import blocks, mix, prefix_sums, range_hash, text_bytes
 
 LENGTH = 100  # bytes of a repeated string
@@ -392,7 +392,7 @@ def remove_repeats(
     Groups are by trigger and, beyond ``salt_docs`` documents, by shares of the
     documents first, each of which passes one place per phrase on; so a passage of very
     many documents is never gathered in one task. What is found comes back to the texts
-    by id, broadcast if it measures small, else by a shuffle.
+    by id, in two joins over one shuffle of the texts.
 
     NULL is an empty text. A NULL id comes after all others; rows that agree in id and
     text are one document, with one result for each row; rows of one id with other
@@ -424,15 +424,17 @@ def remove_repeats(
     borders = found.where(F.length("at") > 0).select("id", "hash", "at", "wide", "trigger")
     n_strings = borders.agg(F.sum(F.length("wide"))).first()[0] or 0
     groups = -(-n_strings * (length + length // 4) // BYTES) or 1
-    fetched = given.join(broadcast_if_small(borders), ["id", "hash"])
-    fetched = fetched.select("id", "hash", "text", "at", "wide", "trigger")
+    # All columns of the texts go along, so that both joins share one shuffle of them.
+    fetched = given.join(borders, ["id", "hash"]).select(
+        "id", "hash", "text", "at", "wide", "trigger", "doc_id"
+    )
     compared = fetched.mapInArrow(_cut_phrases(groups, length), PHRASE_BYTES).groupBy("part")
     compared = compared.applyInArrow(_compare_strings(owners, length), PARSE)
     compared = compared.groupBy("part").applyInArrow(_by_document, FOUND)
     gone = found.select("id", "hash", F.col("gone").alias("whole")).join(
         compared.select("id", "hash", F.col("gone").alias("border")), ["id", "hash"], "full"
     )
-    gone = materialize(gone.where("length(whole) > 0 or length(border) > 0"), "gone")
-    joined = given.join(broadcast_if_small(gone), ["id", "hash"], "left")
+    gone = gone.where("length(whole) > 0 or length(border) > 0")
+    joined = given.join(gone, ["id", "hash"], "left")
     chosen = SCHEMA if texts else SCHEMA.replace(", kept binary, spans string", "")
     return joined.select("doc_id", "text", "whole", "border").mapInArrow(_results(length, texts), chosen)
