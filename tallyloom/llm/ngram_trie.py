@@ -77,7 +77,7 @@ def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 BLOBS = "part int, h binary, i binary, ids binary, ns binary"
 
 
-def _blobs(parts: int, of: Callable[[np.ndarray], np.ndarray], limit: int = 1_500_000):
+def _blobs(parts: int, of: Callable[[np.ndarray], np.ndarray], limit: int = 600_000):
     """Sets, many at a time, dealt out by hash: for each part its hashes, and whose they are."""
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:

@@ -65,7 +65,7 @@ def parse(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[
     return row[new], start - offsets[row[new]], at[last] - start, hashes[trigger], mix(whole)
 
 
-def _parsed(parts: int, salts: int, length: int, limit: int = 1_500_000):
+def _parsed(parts: int, salts: int, length: int, limit: int = 600_000):
     """All phrases, many texts at a time, dealt out by their trigger."""
 
     def flush(found: list[tuple[np.ndarray, ...]], ids: np.ndarray, salt: int) -> Iterator[pa.RecordBatch]:

@@ -37,8 +37,10 @@ def reach_workers(spark: SparkSession) -> None:
     """Let Python workers import the package from the driver's path.
 
     That is enough where the package lies at the same path everywhere, as in local
-    mode. Elsewhere ship it with ``--py-files``.
+    mode. Elsewhere ship it with ``--py-files``. Batches of texts are kept to a
+    thousand rows, which is what bounds a worker's memory.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

@@ -34,10 +34,10 @@ _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 def powers(base: int, n: int) -> np.ndarray:
     """The first ``n`` powers of ``base`` modulo 2**64; long ones are not kept."""
     if len(known := _powers.get(base, ())) < n:
-        known = np.full(max(n, 1 << 20), base, np.uint64)
+        known = np.full(max(n, 1 << 18), base, np.uint64)
         known[0] = 1
         known = np.multiply.accumulate(known)
-        if n <= 4 << 20:
+        if n <= 1 << 20:
             _powers[base] = known
     return known[:n]
 
@@ -72,7 +72,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def blocks(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets) of runs of whole rows, of about ``limit`` bytes at most.
 
     A longer text is a block of its own, so memory follows the longest text.
