@@ -1,0 +1,142 @@
+"""Both packers: lossless pieces, gapless sequences, little padding."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tallyloom.llm import cutting_stock
+from tallyloom.llm.cutting_stock import pack_cutting_stock, padded
+from tallyloom.llm.queries import op7_token_packing, op10_cutting_stock_packing
+from tallyloom.llm.token_packing import Capacities, best_fit_decreasing, pack_tokens, write_packed
+from tallyloom.llm.tokens import encoder
+
+SLOW = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def ids_of(text):
+    return [*SLOW.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def check_pieces(rows, texts, length, total=None):
+    """``texts``: by id; rows of one id are told apart by nothing, so ids are unique here."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append(r)
+    assert set(by_doc) == set(texts)
+    for doc, pieces in by_doc.items():
+        ids, at = ids_of(texts[doc]), 0
+        for r in sorted(pieces, key=lambda r: r["start"]):
+            raw = np.array(ids[at : at + r["length"]], "<u4").tobytes()
+            assert (r["start"], r["doc_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(raw))
+            at += r["length"]
+        assert at == len(ids)
+    filled = []
+    for pieces in by_sequence.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= length
+        filled.append(at)
+    return filled
+
+
+def test_both_libraries_give_the_same_ids():
+    rng = random.Random(1)
+    alphabet = "abcXYZ 019'st.,!?\n\t\r éßñÀ²½×« €漢Ω🙂́ \x85\x00"
+    encode = encoder()
+    for _ in range(3_000):
+        text = "".join(rng.choices(alphabet, k=rng.randrange(60)))
+        assert list(encode(text)) == SLOW.encode(text, add_special_tokens=False).ids, repr(text)
+    for text in ("<|endoftext|> a", "a" * 3_000, " " * 3_000, "\n" * 900 + "x", "don't I'll we've"):
+        assert list(encode(text)) == SLOW.encode(text, add_special_tokens=False).ids
+
+
+def test_segment_tree_finds_the_tightest():
+    rng = random.Random(2)
+    tree, open_ = Capacities(50), []
+    for step in range(3_000):
+        if rng.random() < 0.5:
+            free = rng.randrange(1, 51)
+            tree.put(free, step)
+            open_.append(free)
+        else:
+            need = rng.randrange(1, 51)
+            fits = [f for f in open_ if f >= need]
+            found = tree.take(need)
+            assert (found[0] if found else None) == (min(fits) if fits else None)
+            if found:
+                open_.remove(found[0])
+
+
+def test_best_fit_fills_rows():
+    lengths = np.random.default_rng(3).integers(1, 101, 500)
+    bins, offsets, filled = best_fit_decreasing(lengths, 100)
+    assert sum(filled) == lengths.sum() and max(filled) <= 100
+    assert sum(filled) / (100 * len(filled)) > 0.97
+
+
+EDGES = {0: None, 1: "", 2: "word " * 5_000, 3: "x" * 4_000, 4: "a b c", 5: "<|endoftext|>", -7: "漢字 " * 40}
+
+
+def test_packed_matrices(llm, documents, tmp_path):
+    docs = documents(list(EDGES.items()))
+    write_packed(docs, str(tmp_path / "packed"), length=256, pad_id=9, block_tokens=2_000)
+    rows = llm.read.parquet(str(tmp_path / "packed")).collect()
+    found = defaultdict(dict)
+    for r in rows:
+        ids, positions = np.frombuffer(r["ids"], "<u4"), np.frombuffer(r["positions"], "<u4")
+        ends = r["cu_lengths"]
+        assert len(ids) == len(positions) == 256 and ends[0] == 0 and ends[-1] == r["n_tokens"]
+        assert (ids[ends[-1] :] == 9).all()
+        for k, (doc, start) in enumerate(zip(r["doc_ids"], r["starts"], strict=True)):
+            own = slice(ends[k], ends[k + 1])
+            assert (positions[own] == np.arange(ends[k + 1] - ends[k])).all()
+            found[doc][start] = ids[own].tolist()
+    assert len({r["sequence_id"] for r in rows}) == len(rows)
+    for doc, text in EDGES.items():
+        assert sum((found[doc][s] for s in sorted(found[doc])), []) == ids_of(text)
+
+
+@pytest.mark.parametrize("grain", [1, 64])
+def test_cutting_stock_edges(documents, grain):
+    rows = pack_cutting_stock(documents(list(EDGES.items())), grain=grain).collect()
+    check_pieces(rows, EDGES, 1024)
+    assert pack_cutting_stock(documents([])).collect() == []
+    assert pack_tokens(documents([])).collect() == []
+
+
+def test_repeated_rows_are_packed_again(documents):
+    docs = documents([(1, "a b"), (1, "a b"), (None, "a b")]).selectExpr("*", "1 as length", "2 as rank")
+    for rows in (pack_cutting_stock(docs).collect(), pack_tokens(docs, matrices=False).collect()):
+        assert sum(r["length"] for r in rows) == 9
+        assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 3
+
+
+def test_plan_holds_each_piece_once():
+    rng = np.random.default_rng(4)
+    for lengths in (np.arange(1, 1025), np.array([7, 500, 513, 1024]), np.array([3])):
+        counts = rng.integers(1, 50, len(lengths))
+        held = defaultdict(int)
+        patterns = cutting_stock.plan(lengths, counts, 1024)
+        for pattern, times in patterns:
+            assert sum(size * n for size, n in pattern.items()) <= 1024
+            for size, n in pattern.items():
+                held[size] += n * times
+        assert held == dict(zip(lengths.tolist(), counts.tolist(), strict=True))
+    assert cutting_stock.plan(np.zeros(0, int), np.zeros(0, int), 1024) == []
+
+
+def test_queries_on_the_table(llm):
+    sf_dir = "/root/testdata/sf0.01"
+    texts = {r[0]: r[1] for r in llm.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    filled = check_pieces(op10_cutting_stock_packing(llm, sf_dir).collect(), texts, 1024)
+    assert sum(filled) / sum(padded(n, 1024) for n in filled) > 0.999
+    filled = check_pieces(op7_token_packing(llm, sf_dir).collect(), texts, 2048)
+    assert sum(filled) / (2048 * len(filled)) > 0.97
