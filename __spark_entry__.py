@@ -47,6 +47,7 @@ from tallyloom.plans import (  # noqa: E402
 from tallyloom.session import scratch_dir  # noqa: E402
 from tallyloom.sinks import land_raw, write_csv  # noqa: E402
 from tallyloom.sources import (  # noqa: E402
+    find_file,
     list_files,
     name_for_sql,
     read_csv,
@@ -168,6 +169,39 @@ def tally_large_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tally(fact, dim, **FLAGS, broadcast_bytes=0)
 
 
+def _hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which a third have one user."""
+    return _read(spark, sf_dir, "events").select(
+        F.expr("CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END").alias("noc"),
+        F.length("props").alias("sport"),
+        F.col("event_type").alias("medal"),
+    )
+
+
+EVENTS = {
+    "on": "noc",
+    "group": "sport",
+    "outcome": "medal",
+    "outcomes": {"gold": "purchase", "silver": "signup"},
+    "not_value": "error",
+}
+
+
+def tally_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shuffled way, with a key that a third of the rows share."""
+    dim = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("noc"))
+    return tally(_hot_events(spark, sf_dir), dim, **EVENTS, broadcast_bytes=0)
+
+
+def tally_hot_key_dim_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shuffled way, grouped by the dimension, whose key is of another type."""
+    dim = _read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("noc"), F.col("c_mktsegment").alias("sport")
+    )
+    fact = _hot_events(spark, sf_dir).drop("sport")
+    return tally(fact, dim, **EVENTS, broadcast_bytes=0)
+
+
 def tally_null_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _read(spark, sf_dir, "orders").select(
         F.expr("nullif(o_orderpriority, '5-LOW')").alias("sport"), "o_orderstatus"
@@ -221,7 +255,10 @@ def load_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
-def load_keep_latest(spark: SparkSession, sf_dir: str, table_unique: bool = False) -> DataFrame:
+def load_keep_latest(
+    spark: SparkSession, sf_dir: str, key: str = "o_custkey", tie: str = "o_orderkey"
+) -> DataFrame:
+    """A load into a table that holds many rows of most keys."""
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     urgent = _read(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
     batch = urgent.select(
@@ -230,10 +267,7 @@ def load_keep_latest(spark: SparkSession, sf_dir: str, table_unique: bool = Fals
         F.concat("o_orderstatus", F.lit("2")).alias("o_orderstatus"),
         F.lit(1).alias("version"),
     )
-    ties = ["o_custkey", "o_orderstatus"]
     start = orders.withColumn("version", F.lit(0))
-    if table_unique:
-        start = latest_per_key(start, ["o_orderkey"], ["version"], ties)
     table = f"{_schema(spark, 'latest')}.orders"
     create_table_as(start, table)
     load(
@@ -241,18 +275,17 @@ def load_keep_latest(spark: SparkSession, sf_dir: str, table_unique: bool = Fals
         table,
         _export(batch, "orders"),
         mode="keep_latest",
-        key=["o_orderkey"],
+        key=[key],
         order=["version"],
-        ties=ties,
-        table_unique=table_unique,
-        constraints=Constraints(not_null=("o_orderkey",), key=("o_orderkey",)),
+        ties=[tie, "o_orderstatus"],
+        constraints=Constraints(not_null=("o_orderkey",), key=(key,)),
     )
     return spark.table(table).select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
 def load_keep_latest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same load into a table that holds one row per key."""
-    return load_keep_latest(spark, sf_dir, table_unique=True)
+    return load_keep_latest(spark, sf_dir, "o_orderkey", "o_custkey")
 
 
 def table_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,15 +344,21 @@ def csv_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _read(spark, sf_dir, "customer")
-    columns = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    path = _export(customer.select(*columns), "customer", header=False)
+    # As a decimal, whose text both engines write alike.
+    customer = customer.withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)"))
+    path = _export(customer, "customer", header=False)
     target = scratch_dir(spark, "raw")
     land_raw(spark, path, target)
     return read_landed(spark, target).select("value")
 
 
 def landed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _read(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    events = _read(spark, sf_dir, "events").withColumns(
+        {
+            "ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+            "value": F.col("value").cast("decimal(18,2)"),
+        }
+    )
     target = scratch_dir(spark, "raw")
     land_raw(spark, _export(events, "events"), target)
     return read_landed_csv(spark, target, events.columns)
@@ -327,7 +366,21 @@ def landed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _text_files(spark, sf_dir)
-    return list_files(spark, path, glob="*.txt").agg(F.sum("length").alias("total_bytes"))
+    files = list_files(spark, path, glob="*.txt")
+    # One file for each partition and each full thousand of its records.
+    return files.agg(
+        F.sum("length").alias("total_bytes"), F.countDistinct("path").alias("n_files")
+    ).select("total_bytes", (F.col("n_files") == len(set(files.inputFiles()))).alias("all_listed"))
+
+
+def file_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The size of a file of one number, in a folder whose name has a pattern's signs."""
+    documents = _read(spark, sf_dir, "documents")
+    path = scratch_dir(spark, "sum[1]")
+    documents.agg(F.sum(F.octet_length("text")).cast("string")).write.text(path)
+    listed = list_files(spark, path.replace("[", "\\[").replace("]", "\\]"), glob="*.txt")
+    found = find_file(spark, listed.first()["path"])
+    return found.select(F.col("length").alias("n_bytes"))
 
 
 def whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,7 +392,7 @@ def _text_files(spark: SparkSession, sf_dir: str) -> str:
     """The documents as text files, of a size that can be read whole."""
     path = scratch_dir(spark, "documents")
     documents = _read(spark, sf_dir, "documents").select("text")
-    documents.write.option("maxRecordsPerFile", 10_000).text(path)
+    documents.write.option("maxRecordsPerFile", 1_000).text(path)
     return path
 
 
@@ -383,7 +436,7 @@ def shifted_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def failure_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failure_report(
-        _read(spark, sf_dir, "events"),
+        _read(spark, sf_dir, "events").withColumn("user_id", F.expr("nullif(user_id, 7)")),
         failed=F.col("event_type") == "error",
         ts="ts",
         template="Job: {user_id} Time: {local_time}",
@@ -416,7 +469,9 @@ def constraint_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderstatus", F.expr("nullif(o_orderstatus, 'P')")
     )
     constraints = Constraints(
-        not_null=("o_orderstatus",), max_length={"o_orderpriority": 8}, key=("o_orderkey",)
+        not_null=("o_orderstatus",),
+        max_length={"o_orderpriority": 8},
+        key=("o_custkey", "o_orderdate"),
     )
     return count_violations(orders, constraints).toDF("null_rows", "too_long", "extra_keys")
 
@@ -437,13 +492,15 @@ def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         table=f"{schema.rpartition('/')[2].replace('-', '_')}.medals",
         spec=FLAGS,
         schema_location=schema,
+        rules=[("SELECT count(*) FROM {table} WHERE total < gold + silver + bronze", 0)],
     )
 
 
 def local_extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = _export(_fact(spark, sf_dir), "fact")
     dim = _export(_dim(spark, sf_dir), "dim")
-    return local_extract(spark, fact, dim, scratch_dir(spark, "result"), spec=FLAGS)
+    result = scratch_dir(spark, "result")
+    return local_extract(spark, fact, dim, result, spec=FLAGS, single_file=True)
 
 
 def two_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -477,6 +534,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tally_null_outcome": tally_null_outcome,
         "tally_duplicate_dim": tally_duplicate_dim,
         "tally_large_dim": tally_large_dim,
+        "tally_hot_key": tally_hot_key,
+        "tally_hot_key_dim_group": tally_hot_key_dim_group,
         "tally_null_group": tally_null_group,
         "latest_per_key": latest_order,
         "latest_per_key_nulls": latest_event,
@@ -493,6 +552,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_landing": raw_landing,
         "landed_csv": landed_csv,
         "file_listing": file_listing,
+        "file_lookup": file_lookup,
         "whole_files": whole_files,
         "table_columns": table_column_nulls,
         "text_preview": text_preview,
@@ -527,8 +587,8 @@ _TALLY_WHOLE = f"""
 """
 _KEEP_LATEST = """
     select o_orderkey, o_custkey, o_orderstatus from (
-        select *, row_number() over (partition by o_orderkey
-            order by version desc, o_custkey desc, o_orderstatus desc) as n
+        select *, row_number() over (partition by {key}
+            order by version desc, {ties} desc, o_orderstatus desc) as n
         from (
             select o_orderkey, o_custkey, o_orderstatus, 0 as version from orders
             union all
@@ -562,6 +622,22 @@ def core_oracle_sql() -> dict[str, str]:
         "tally_large_dim": f"""
             select l.l_linenumber as sport, {_TALLY_COUNTS}
             from lineitem l join orders o on o.o_orderkey = l.l_orderkey group by 1""",
+        "tally_hot_key": """
+            select length(e.props) as sport,
+                count(case when e.event_type = 'purchase' then 1 end) as gold,
+                count(case when e.event_type = 'signup' then 1 end) as silver,
+                count(case when e.event_type <> 'error' then 1 end) as total
+            from events e join customer c
+                on c.c_custkey = case when e.event_id % 3 = 0 then 0 else e.user_id end
+            group by 1""",
+        "tally_hot_key_dim_group": """
+            select c.c_mktsegment as sport,
+                count(case when e.event_type = 'purchase' then 1 end) as gold,
+                count(case when e.event_type = 'signup' then 1 end) as silver,
+                count(case when e.event_type <> 'error' then 1 end) as total
+            from events e join customer c
+                on c.c_custkey = case when e.event_id % 3 = 0 then 0 else e.user_id end
+            group by 1""",
         "tally_null_group": """
             select nullif(o_orderpriority, '5-LOW') as sport,
                 count(case when o_orderstatus = 'F' then 1 end) as gold
@@ -580,8 +656,8 @@ def core_oracle_sql() -> dict[str, str]:
         "load_columns": """
             select c_custkey, c_name, cast(null as varchar) as c_mktsegment from customer""",
         "load_truncate": "select * from events",
-        "load_keep_latest": _KEEP_LATEST,
-        "load_keep_latest_merge": _KEEP_LATEST,
+        "load_keep_latest": _KEEP_LATEST.format(key="o_custkey", ties="o_orderkey"),
+        "load_keep_latest_merge": _KEEP_LATEST.format(key="o_orderkey", ties="o_custkey"),
         "table_reload": "select c_custkey, c_name, c_mktsegment from customer",
         "keyed_layout": """
             select o_custkey, count(case when o_orderstatus = 'F' then 1 end) as done,
@@ -593,12 +669,19 @@ def core_oracle_sql() -> dict[str, str]:
         "csv_scan_inferred": "select c_custkey, c_name, c_nationkey, c_acctbal from customer",
         "csv_single_file": _TALLY_WHOLE,
         "raw_landing": """
-            select concat_ws(',', c_custkey, c_name, c_nationkey, c_mktsegment) as value
+            select concat_ws(',', c_custkey, c_name, c_nationkey,
+                cast(c_acctbal as decimal(12, 2)), c_mktsegment) as value
             from customer""",
         "landed_csv": """
-            select cast(event_id as varchar) as event_id, event_type, props from events""",
+            select cast(event_id as varchar) as event_id,
+                strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, cast(user_id as varchar) as user_id,
+                event_type, cast(cast(value as decimal(18, 2)) as varchar) as value, props
+            from events""",
         "file_listing": """
-            select cast(sum(strlen(text) + 1) as bigint) as total_bytes from documents""",
+            select cast(sum(strlen(text) + 1) as bigint) as total_bytes, true as all_listed
+            from documents""",
+        "file_lookup": """
+            select strlen(cast(sum(strlen(text)) as varchar)) + 1 as n_bytes from documents""",
         "whole_files": """
             select cast(sum(length(text) + 1) as bigint) as total_chars from documents""",
         "table_columns": """
@@ -622,7 +705,8 @@ def core_oracle_sql() -> dict[str, str]:
                 strftime(ts + interval 9 hours, '%Y-%m-%d %H:%M:%S') as local_time
             from events""",
         "failure_report": """
-            select event_id, 'Job: ' || user_id || ' Time: '
+            select event_id,
+                'Job: ' || coalesce(cast(nullif(user_id, 7) as varchar), '(none)') || ' Time: '
                 || strftime(ts + interval 9 hours, '%Y-%m-%d %H:%M:%S') as report
             from events where event_type = 'error'""",
         "dq_row_count": """
@@ -640,7 +724,7 @@ def core_oracle_sql() -> dict[str, str]:
         "constraint_check": """
             select count(case when nullif(o_orderstatus, 'P') is null then 1 end) as null_rows,
                 count(case when length(o_orderpriority) > 8 then 1 end) as too_long,
-                count(*) - count(distinct o_orderkey) as extra_keys
+                count(*) - count(distinct (o_custkey, o_orderdate)) as extra_keys
             from orders""",
         "daily_refresh": _TALLY_WHOLE.replace(
             "l.l_linenumber", "cast(l.l_linenumber as varchar)"

@@ -23,13 +23,20 @@ def join_fields(sep: str, *fields: str | Column) -> Column:
     return F.concat_ws(sep, *fields)
 
 
+MISSING = "(none)"
+
+
 def fill_template(template: str, **fields: str | Column) -> Column:
-    """``template`` with each ``{name}`` replaced by the column given for it."""
+    """``template`` with each ``{name}`` replaced by the column given for it.
+
+    A NULL field is written as :data:`MISSING`, so the text is never lost.
+    """
     parts: list[Column] = []
     for literal, name, _, _ in Formatter().parse(template):
         if literal:
             parts.append(F.lit(literal))
         if name is not None:
             field = fields[name]
-            parts.append((F.col(field) if isinstance(field, str) else field).cast("string"))
+            value = (F.col(field) if isinstance(field, str) else field).cast("string")
+            parts.append(F.coalesce(value, F.lit(MISSING)))
     return F.concat(*parts)

@@ -39,7 +39,7 @@ def failure_report(
     The template may name any column of ``runs``, and ``local_time`` for
     :func:`shifted_time` of ``ts``. ``keep`` names columns to carry along.
     """
-    fields = {name: F.col(name) for name in runs.columns}
+    fields = {name: F.col(f"`{name}`") for name in runs.columns}
     fields["local_time"] = shifted_time(runs, ts, hours)
     report = fill_template(template, **fields).alias("report")
     return runs.where(failed).select(*keep, report)

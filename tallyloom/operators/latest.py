@@ -36,4 +36,4 @@ def latest_per_key(
 
     window = Window.partitionBy(*key).orderBy(*[descending(c) for c in (*order, *ties)])
     ranked = df.withColumn("__n", F.row_number().over(window))
-    return ranked.where(F.col("__n") == 1).select(*df.columns)
+    return ranked.where(F.col("__n") == 1).drop("__n")

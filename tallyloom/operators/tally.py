@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.size import fits
-from tallyloom.operators.skew import join_unique
 
 _KEY, _COPIES = "__key", "__copies"
 
@@ -72,7 +71,10 @@ def tally(
 
     The dimension is broadcast when it is one row (``key_value`` with a group of
     the fact) or when a measuring job over the columns used finds that they fit
-    ``broadcast_bytes``. Otherwise the join is :func:`join_unique`.
+    ``broadcast_bytes``. Otherwise the fact is counted per key and group in one pass,
+    combined before its shuffle, and the counts meet the dimension in a sort-merge
+    join: a hot key sends one row per task and group. Keys of different types are
+    compared as Spark compares them in a join, so both ways count the same.
     """
     fact_key, dim_key = (on, on) if isinstance(on, str) else on
     predicates = _predicates(outcome, outcomes, not_value, total)
@@ -84,24 +86,19 @@ def tally(
     copies = used.groupBy(*used.columns).agg(F.count("*").alias(_COPIES))
     rows = fact.withColumn(_KEY, F.col(fact_key))
 
-    if (key_value is not None and not dim_groups) or fits(used, broadcast_bytes):
+    fits_all = (key_value is not None and not dim_groups) or fits(used, broadcast_bytes)
+    if fits_all:
         copies = F.broadcast(copies)
-        by_fact = not dim_groups or _one_row_per_key(copies)
-        join = DataFrame.join
-    else:
-        by_fact = not dim_groups
-        join = join_unique
-
-    if by_fact:
+    if fits_all and (not dim_groups or _one_row_per_key(copies)):
         needed = rows.select(*dict.fromkeys([_KEY, outcome, *([] if dim_groups else [group])]))
         weights = {n: F.when(p, F.col(_COPIES)).otherwise(0) for n, p in predicates.items()}
-        joined = join(needed, copies, _KEY)
+        joined = needed.join(copies, _KEY)
     else:
-        per_key = rows.groupBy(_KEY).agg(
+        per_key = rows.groupBy(*dict.fromkeys([_KEY, *([] if dim_groups else [group])])).agg(
             *[F.count(F.when(p, 1)).alias(n) for n, p in predicates.items()]
         )
         weights = {n: F.col(n) * F.col(_COPIES) for n in predicates}
-        joined = join(copies, per_key, _KEY)
+        joined = per_key.join(copies if fits_all else copies.hint("merge"), _KEY)
     return joined.groupBy(group).agg(*[F.sum(w).alias(n) for n, w in weights.items()])
 
 

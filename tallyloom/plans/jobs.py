@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.operators import Constraints, tally
-from tallyloom.plans.loads import create_schema, create_table, load, replace_table
+from tallyloom.plans.loads import Rules, create_schema, create_table, load, replace_table
 from tallyloom.sinks import land_raw, replace_jdbc, write_csv
 from tallyloom.sources import JdbcDatabase, read_csv
 
@@ -48,6 +48,7 @@ def refresh(
     key: str | None = "sport",
     buckets: int = 8,
     min_rows: int = 0,
+    rules: Rules = (),
     schema_location: str | None = None,
     database: JdbcDatabase | None = None,
 ) -> DataFrame:
@@ -55,14 +56,15 @@ def refresh(
 
     ``fact_path`` and ``dim_path`` lie in the ``incoming`` folders, whose CSV files
     are all landed under ``raw``. The result replaces the rows of ``table`` only after it passed
-    the constraints, so a second run, or a failed one, leaves no duplicates.
+    the constraints and the ``rules`` of ``replace_table``, so a second run, or a failed
+    one, leaves no duplicates. A table of other columns is refused and left as it is.
     With ``database`` the published rows also replace the table of that name there.
     """
     land_raw(spark, incoming, raw)
     create_schema(spark, table.rpartition(".")[0] or "default", schema_location)
     create_table(spark, table, columns, key=key, buckets=buckets)
     result = tally(read_csv(spark, fact_path), read_csv(spark, dim_path), **spec)
-    replace_table(result, table, constraints, min_rows)
+    replace_table(result, table, constraints, min_rows, rules=rules)
     published = spark.table(table)
     if database is not None:
         replace_jdbc(published, database, table)
@@ -77,15 +79,16 @@ def local_extract(
     spec: Mapping[str, object] = MEDALS,
     fact_schema: str | None = None,
     dim_schema: str | None = None,
+    single_file: bool = False,
 ) -> DataFrame:
-    """Tally trimmed CSV files into a one-file CSV; returns the result as read back.
+    """Tally trimmed CSV files into a CSV, of one file if asked; returns it as read back.
 
     Without a schema the column types are inferred, which reads the files twice.
     """
     fact = read_csv(spark, fact_path, schema=fact_schema, infer=True, trim=True)
     dim = read_csv(spark, dim_path, schema=dim_schema, infer=True, trim=True)
     result = tally(fact, dim, **spec)
-    write_csv(result, result_path, single_file=True)
+    write_csv(result, result_path, single_file=single_file)
     return read_csv(spark, result_path, schema=result.schema)
 
 

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -17,12 +14,14 @@ from tallyloom.operators import (
     latest_per_key,
     require,
     row_count_rules,
+    scalar_rule,
 )
-from tallyloom.operators.size import fits
 from tallyloom.sinks.layout import co_locate
 from tallyloom.sources.catalog import table_columns
 from tallyloom.sources.csv import read_csv
 
+Rules = Sequence[tuple[str, object]]
+
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create a schema if it is missing."""
@@ -64,9 +63,18 @@ def create_table_as(df: DataFrame, table: str) -> None:
 
 
 def insert_into(df: DataFrame, table: str) -> None:
-    """Append a DataFrame's rows, matching columns by name; bucketed tables get few files."""
+    """Append a DataFrame's rows, matching columns by name; bucketed tables get few files.
+
+    The columns must be those of the table, in any order: one that either side lacks
+    is refused before anything is written.
+    """
     spark = df.sparkSession
-    rows = df.select(*table_columns(spark, table))
+    columns = table_columns(spark, table)
+    given, wanted = ({c.lower() for c in names} for names in (df.columns, columns))
+    if given != wanted or len(df.columns) != len(columns):
+        differ = ", ".join(sorted(given ^ wanted)) or "a column twice"
+        raise ValueError(f"the rows and {table} differ in columns: {differ}")
+    rows = df.select(*[F.col(f"`{c}`") for c in columns])
     keys = [column.name for column in spark.catalog.listColumns(table) if column.isBucket]
     if len(keys) == 1:
         rows = co_locate(rows, keys[0], int(_detail(spark, table, "Num Buckets")))
@@ -84,11 +92,13 @@ def replace_table(
     constraints: Constraints | None = None,
     min_rows: int = 0,
     keep_old: bool = False,
+    rules: Rules = (),
 ) -> None:
     """Replace the rows of ``table`` with those of ``df``, which may read ``table``.
 
     The rows are written beside the table and checked there; a failed check raises
-    and leaves the table as it was. Then the table is pointed at the new files in
+    and leaves the table as it was. ``rules`` are (SQL, expected) pairs, whose SQL
+    names the table to check as ``{table}`` and whose first cell must be as expected. Then the table is pointed at the new files in
     one catalog change, so readers see the old rows or the new ones and no data is
     moved. The old files go afterwards, unless ``keep_old`` leaves them to readers
     that are still running. Run one writer per table: another job's replacement in
@@ -105,7 +115,7 @@ def replace_table(
     stage, new = _stage(spark, table)
     try:
         insert_into(df, stage)
-        _gate(spark, stage, table, constraints, min_rows)
+        _gate(spark, stage, table, constraints, min_rows, rules)
         if _location(spark, table) != old:
             raise RuntimeError(f"{table} was replaced by another job in the meantime")
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
@@ -132,25 +142,24 @@ def load(
     key: Sequence[str] = (),
     order: Sequence[str | Column] = (),
     ties: Sequence[str | Column] = (),
-    table_unique: bool = False,
     constraints: Constraints | None = None,
     min_rows: int = 0,
+    rules: Rules = (),
 ) -> None:
     """Load delimited files into an existing table.
 
     - ``append`` adds the rows,
     - ``truncate`` replaces the table's rows with them,
     - ``keep_latest`` adds them and keeps the latest row per ``key`` by ``order``
-      over the whole table, so that loading a batch again changes nothing. Say
-      ``table_unique`` when the table has one row per key already, as a former
-      ``keep_latest`` leaves it: then a batch whose keys can be broadcast is merged
-      without shuffling the table.
+      over the whole table, whose old duplicates collapse too, so that loading a
+      batch again changes nothing.
 
     Fields go by position to ``columns``, or to all of the table's columns, and
     unlisted columns are NULL. The first line of each file is skipped while
     ``header`` is on. ``options`` are reader options; a row that does not fit
-    stops the load. ``constraints`` and ``min_rows`` hold for the rows that the
-    call writes: the batch in ``append``, the whole table in the other modes.
+    stops the load. ``constraints``, ``min_rows`` and the ``rules`` of
+    :func:`replace_table` hold for the rows that the call writes: the batch in
+    ``append``, the whole table in the other modes.
     """
     if mode not in ("append", "truncate", "keep_latest"):
         raise ValueError(f"unknown load mode: {mode}")
@@ -158,12 +167,12 @@ def load(
         raise ValueError("keep_latest needs a key and an order")
     batch = _read_batch(spark, table, paths, columns, header, options or {})
     if mode == "truncate":
-        replace_table(batch, table, constraints, min_rows)
+        replace_table(batch, table, constraints, min_rows, rules=rules)
     elif mode == "keep_latest":
-        rows = _merge_latest(spark.table(table), batch, key, order, ties, table_unique)
-        replace_table(rows, table, constraints, min_rows)
-    elif constraints or min_rows:
-        _append_checked(spark, batch, table, constraints, min_rows)
+        rows = latest_per_key(spark.table(table).unionByName(batch), key, order, ties)
+        replace_table(rows, table, constraints, min_rows, rules=rules)
+    elif constraints or min_rows or rules:
+        _append_checked(spark, batch, table, constraints, min_rows, rules)
     else:
         insert_into(batch, table)
 
@@ -194,33 +203,26 @@ def _read_batch(
     )
 
 
-def _merge_latest(current, batch, key, order, ties, table_unique, limit=64 << 20) -> DataFrame:
-    keys = batch.select(*[F.col(c).alias(f"__{c}") for c in key])
-    if not (table_unique and fits(keys, limit)):
-        return latest_per_key(current.unionByName(batch), key, order, ties)
-    keys = F.broadcast(keys.distinct())
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
-    touched = current.join(keys, same, "left_semi").unionByName(batch)
-    untouched = current.join(keys, same, "left_anti")
-    return untouched.unionByName(latest_per_key(touched, key, order, ties))
-
-
-def _append_checked(spark, batch, table, constraints, min_rows) -> None:
+def _append_checked(spark, batch, table, constraints, min_rows, rules) -> None:
     stage, new = _stage(spark, table)
     try:
         insert_into(batch, stage)
-        _gate(spark, stage, table, constraints, min_rows)
+        _gate(spark, stage, table, constraints, min_rows, rules)
         insert_into(spark.table(stage), table)
     finally:
         _drop_with_files(spark, stage, new)
 
 
-def _gate(spark, stage, table, constraints, min_rows) -> None:
+def _gate(spark, stage, table, constraints, min_rows, rules) -> None:
     """Check the rows that were written, not the plan that made them."""
     if min_rows:
         require(row_count_rules({table: spark.table(stage)}, min_rows))
     if constraints:
         require(constraint_rules(spark.table(stage), table, constraints))
+    if rules:
+        checked = [scalar_rule(spark, table, sql.replace("{table}", stage), e) for sql, e in rules]
+        for rule in checked:
+            require(rule)
 
 
 def _detail(spark: SparkSession, table: str, name: str) -> str:

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
 import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-_local_scratch: list[str] = []
+_scratch: dict[tuple[str, str], str] = {}  # folders of this process, by application and base
 
 
 def get_session(app_name: str, conf: Mapping[str, str] | None = None) -> SparkSession:
@@ -58,17 +55,21 @@ def object_path(bucket: str, *parts: str, scheme: str = "s3a") -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared ``spark.checkpoint.dir``.
+    """A new folder name under the shared ``spark.checkpoint.dir``, else under the warehouse.
 
-    Only a local session without that setting gets a folder of this machine,
-    which goes away when the process ends.
+    All of a session's scratch lies in one folder, which Hadoop removes when the
+    driver's JVM ends. Without the setting, a session on a cluster is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        if not _local_scratch:
-            _local_scratch.append(tempfile.mkdtemp(prefix="tallyloom-"))
-            atexit.register(shutil.rmtree, _local_scratch[0], ignore_errors=True)
-        base = _local_scratch[0]
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    key = (spark.sparkContext.applicationId, base)
+    if key not in _scratch:
+        _scratch[key] = f"{base.rstrip('/')}/tallyloom-{uuid.uuid4().hex}"
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch[key])
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return f"{_scratch[key]}/{name}-{uuid.uuid4().hex}"

@@ -11,28 +11,16 @@ def write_csv(
     df: DataFrame,
     path: str,
     single_file: bool = False,
-    single_file_rows: int = 1_000_000,
     header: bool = True,
     mode: str = "overwrite",
 ) -> None:
     """Write CSV with a header line and ``"`` escaped by doubling; blanks are kept.
 
-    Every task writes its own file. ``single_file`` gives one file, written by one
-    task, for a result of known size: more than ``single_file_rows`` rows are
-    refused before anything is written.
+    Every task writes its own file. ``single_file`` gives one file, which one task
+    writes row by row, however many there are: ask for it where the result is small.
     """
-    if not single_file:
-        _write(df, path, header, mode)
-        return
-    df = df.persist()
-    try:
-        rows = df.count()
-        if rows > single_file_rows:
-            raise ValueError(f"{rows} rows are too many for a single file; write several")
-        # repartition, not coalesce: the work before the write stays parallel.
-        _write(df.repartition(1), path, header, mode)
-    finally:
-        df.unpersist()
+    # repartition, not coalesce: the work before the write stays parallel.
+    _write(df.repartition(1) if single_file else df, path, header, mode)
 
 
 def _write(df: DataFrame, path: str, header: bool, mode: str) -> None:

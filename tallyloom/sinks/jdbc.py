@@ -39,7 +39,8 @@ def replace_jdbc(
 
 
 def _write(df, database, table, mode, connections, batch_size, options) -> None:
-    df.write.format("jdbc").options(
+    # The shuffle keeps the work before the write parallel; the writer alone would narrow it.
+    df.repartition(connections).write.format("jdbc").options(
         **database.options(),
         dbtable=table,
         numPartitions=connections,

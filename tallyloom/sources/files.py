@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -32,8 +33,9 @@ def find_file(spark: SparkSession, path: str) -> DataFrame:
     at ``path`` gives no row.
     """
     reader = spark.read.format("binaryFile")
-    name = path.rstrip("/").rpartition("/")[2]
-    return reader.option("pathGlobFilter", name).load(path).select(*_ATTRIBUTES)
+    exact = re.sub(r"([\[\]{}*?\\])", r"\\\1", path.rstrip("/"))
+    name = exact.rpartition("/")[2]
+    return reader.option("pathGlobFilter", name).load(exact).select(*_ATTRIBUTES)
 
 
 def read_files(
@@ -75,8 +77,10 @@ def read_landed_csv(
     header is left out; the second scan below finds any others, which are rows.
     """
     schema = ", ".join(f"`{c}` STRING" for c in columns)
-    fields = F.from_csv("value", schema, {"sep": sep, "escape": '"'})
-    lines = read_landed(spark, target, file_name).where(F.col("value") != "")
+    # A line of a file with Windows line ends still has the first half of its end.
+    line = F.regexp_replace("value", "\\r$", "")
+    fields = F.from_csv(line, schema, {"sep": sep, "escape": '"'})
+    lines = read_landed(spark, target, file_name).where(~F.col("value").isin("", "\r"))
     parsed = lines.select("file_name", fields.alias("fields"))
     is_header = reduce(and_, [F.col(f"fields.`{c}`").eqNullSafe(F.lit(c)) for c in columns])
     headers = parsed.groupBy("file_name").agg(F.count(F.when(is_header, 1)).alias("n"))

@@ -36,13 +36,15 @@ def read_jdbc(
     bounds: tuple[object, object] | None = None,
     splits: int = 64,
     fetch_size: int = 10_000,
+    one_connection: bool = False,
 ) -> DataFrame:
     """Read a table, or the result of a query.
 
-    One connection reads everything unless ``split_on`` names a numeric, date or
-    timestamp column of the table, with ``bounds`` as its rough range: then
-    ``splits`` connections read a slice each. Rows outside the bounds, and NULLs,
-    are still read, by the outer slices. Filters and columns reach the database.
+    A table is read over ``splits`` connections, a slice each of ``split_on``, which
+    names a numeric, date or timestamp column, with ``bounds`` as its rough range. Rows
+    outside the bounds, and NULLs, are still read, by the outer slices. Say
+    ``one_connection`` to read a small table without. A query is read over one.
+    Filters and columns reach the database.
     """
     if (table is None) == (query is None):
         raise ValueError("give either a table or a query")
@@ -50,6 +52,8 @@ def read_jdbc(
         raise ValueError("split_on and bounds go together")
     if query is not None and split_on is not None:
         raise ValueError("only a table read can be split")
+    if table is not None and one_connection == (split_on is not None):
+        raise ValueError("a table needs either split_on or one_connection=True")
     reader = spark.read.format("jdbc").options(**database.options(), fetchsize=fetch_size)
     if query is not None:
         return reader.option("query", query).load()

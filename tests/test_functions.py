@@ -32,6 +32,8 @@ def test_template(spark):
     df = spark.createDataFrame([("o'hara \\ $1", 2)], "name string, n int")
     text = fill_template("{{{name}}} has {n}%\n", name="name", n=F.col("n") + 1)
     assert df.select(text).first()[0] == "{o'hara \\ $1} has 3%\n"
+    missing = fill_template("{a}: {b}", a=F.lit(None).cast("int"), b="n")
+    assert df.select(missing).first()[0] == "(none): 2"
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Seoul"])

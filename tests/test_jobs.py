@@ -1,10 +1,14 @@
 import glob
+import os
+import subprocess
+import sys
+import time
 
 import pytest
 
 from tallyloom.__main__ import main
-from tallyloom.operators import QualityError
-from tallyloom.plans import local_extract, refresh
+from tallyloom.operators import Constraints, QualityError
+from tallyloom.plans import MEDALS, local_extract, refresh
 from tallyloom.session import object_path, object_store_conf, scratch_dir
 from tallyloom.sources import read_landed
 from test_tally import FACT_A, FACT_B, ONE
@@ -56,9 +60,20 @@ def test_refresh_keeps_the_old_result_when_the_gate_fails(spark, run):
         run(FACT_A)
     with pytest.raises(QualityError, match="row_count=2"):
         run(CLEAN, min_rows=3)
+    with pytest.raises(QualityError, match="actual=2"):
+        run(CLEAN, rules=[("SELECT count(*) FROM {table}", 3)])
     assert rows(good) == expected
 
 
+def test_refresh_refuses_a_table_of_other_columns(spark, run):
+    spec = {**MEDALS, "outcomes": {"gold": "Gold"}}
+    columns = {"sport": "STRING", "gold": "BIGINT", "total": "BIGINT"}
+    good = run(CLEAN, spec=spec, columns=columns, constraints=Constraints())
+    with pytest.raises(ValueError, match="differ in columns: bronze, silver"):
+        run(CLEAN)
+    assert rows(good) == {("Judo", 2, 3), ("Archery", 0, 0)}
+
+
 def test_local_extract(spark, csv_file, tmp_path):
     fact, dim = csv_file("fact.csv", FACT_B), csv_file("dim.csv", ONE)
     out = str(tmp_path / "out")
@@ -88,17 +103,45 @@ def test_object_store(monkeypatch):
 class FakeSession:
     """A session's settings and master, without the session."""
 
-    def __init__(self, master, folder=None):
+    def __init__(self, master):
         self.sparkContext = type("Context", (), {"master": master})
-        self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: folder)})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: None)})
 
 
-def test_scratch_folder():
-    assert scratch_dir(FakeSession("yarn", "hdfs:///c/"), "x").startswith("hdfs:///c/x-")
+def test_scratch_folder(spark):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(FakeSession("yarn"), "x")
-    one, two = (scratch_dir(FakeSession("local[2]"), "x") for _ in range(2))
-    assert one != two
+    one, two = (scratch_dir(spark, "x") for _ in range(2))
+    assert one != two and one.rpartition("/")[0] == two.rpartition("/")[0]
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    assert one.startswith(base or spark.conf.get("spark.sql.warehouse.dir"))
+
+
+LEAVES_NOTHING = """
+import sys
+from pyspark.sql import SparkSession
+from tallyloom.session import scratch_dir
+spark = (
+    SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+    .config("spark.checkpoint.dir", sys.argv[1]).getOrCreate()
+)
+path = scratch_dir(spark, "x")
+spark.range(3).write.parquet(path)
+assert spark.read.parquet(path).count() == 3 and path.startswith(sys.argv[1] + "/tallyloom-")
+"""
+
+
+def test_nothing_stays_behind(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    command = [sys.executable, "-c", LEAVES_NOTHING, str(tmp_path / "shared")]
+    subprocess.run(command, check=True, cwd=root, timeout=120)
+    # Spark's own empty checkpoint folder is not ours.
+    left = lambda: [n for n in os.listdir(tmp_path / "shared") if n.startswith("tallyloom")]
+    for _ in range(50):  # the JVM ends a little after the driver's Python
+        if not left():
+            break
+        time.sleep(0.2)
+    assert left() == []
 
 
 def test_command_line(spark, csv_file, tmp_path, schema, capsys):
@@ -110,7 +153,9 @@ def test_command_line(spark, csv_file, tmp_path, schema, capsys):
     assert capsys.readouterr().out.count("|   Judo|   2|") == 2
     spark.sql(f"CREATE TABLE {schema}.noc (noc STRING) USING parquet")
     for _ in range(2):
-        latest = ["--mode", "keep_latest", "--key", "noc", "--order", "noc"]
+        latest = ["--mode", "keep_latest", "--key", "noc", "--order", "noc", "--ties", "noc"]
+        latest += ["--options", "sep=,", "--min-rows", "2"]
+        latest += ["--rule", "SELECT count(*) FROM {table} WHERE noc = ''", "0"]
         main(["load", "--table", f"{schema}.noc", "--paths", dim, *latest])
     assert rows(spark.table(f"{schema}.noc")) == {("KOR",), ("USA",)}
     check = ["check", "--tables", f"{schema}.noc", f"{schema}.medals"]

@@ -56,3 +56,8 @@ def test_against_brute_force(spark, data):
     result = latest_per_key(df, ["k"], ["o"], ties=["v"]).collect()
     assert {tuple(r) for r in result} == expected
     assert len(result) == len(best)
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([(1, 1, "x"), (1, 2, "y")], "k int, o int, `a.b` string")
+    assert [tuple(r) for r in latest_per_key(df, ["k"], ["o"]).collect()] == [(1, 2, "y")]

@@ -15,7 +15,6 @@ from tallyloom.plans import (
     replace_table,
     truncate_table,
 )
-from tallyloom.plans.loads import _merge_latest
 from tallyloom.sinks import write_csv
 
 COLUMNS = {"k": "INT", "o": "INT", "v": "STRING"}
@@ -75,8 +74,7 @@ def test_truncate(spark, table, csv_file, tmp_path):
     assert tables(spark, table) == ["t"]
 
 
-@pytest.mark.parametrize("unique", [False, True])
-def test_keep_latest_twice(spark, table, csv_file, unique):
+def test_keep_latest_twice(spark, table, csv_file):
     path = csv_file("in.csv", "k,o,v\n0,9,b\n1,10,b\n0,3,c\n")
     for _ in range(2):
         load(
@@ -86,33 +84,19 @@ def test_keep_latest_twice(spark, table, csv_file, unique):
             mode="keep_latest",
             key=["k"],
             order=["o"],
-            table_unique=unique,
             constraints=Constraints(key=("k",)),
         )
         assert rows(spark.table(table)) == [(0, 9, "b"), (1, 10, "b"), (2, 2, "a")]
 
 
-@pytest.mark.parametrize("unique", [False, True])
-def test_keep_latest_null_keys_and_older_batch(spark, table, csv_file, unique):
+def test_keep_latest_null_keys_and_older_batch(spark, table, csv_file):
     insert_into(spark.createDataFrame([(None, 5, "n")], "k int, o int, v string"), table)
     path = csv_file("in.csv", "k,o,v\n,4,old\n2,1,old\n,,new\n")
-    load(spark, table, path, "keep_latest", key=["k"], order=["o"], table_unique=unique)
+    load(spark, table, path, "keep_latest", key=["k"], order=["o"])
     expected = [(0, 0, "a"), (1, 1, "a"), (2, 2, "a"), (None, None, "new")]
     assert rows(spark.table(table)) == expected
 
 
-def test_a_small_batch_does_not_shuffle_a_unique_table(spark, table, csv_file):
-    batch = spark.read.csv(csv_file("in.csv", "0,9,b\n"), schema="k int, o int, v string")
-    merged = _merge_latest(spark.table(table), batch, ["k"], ["o"], (), table_unique=True)
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti" in plan and "LeftSemi" in plan and "NestedLoop" not in plan
-    large = _merge_latest(
-        spark.table(table), batch, ["k"], ["o"], (), table_unique=True, limit=0
-    )
-    assert "LeftAnti" not in large._jdf.queryExecution().executedPlan().toString()
-    assert rows(large) == rows(merged) == [(0, 9, "b"), (1, 1, "a"), (2, 2, "a")]
-
-
 def test_keep_latest_collapses_old_duplicates(spark, table, csv_file):
     insert_into(spark.createDataFrame([(2, 5, "z")], "k int, o int, v string"), table)
     path = csv_file("none.csv", "k,o,v\n")
@@ -120,6 +104,38 @@ def test_keep_latest_collapses_old_duplicates(spark, table, csv_file):
     assert rows(spark.table(table)) == [(0, 0, "a"), (1, 1, "a"), (2, 5, "z")]
 
 
+@pytest.mark.parametrize("size", [1, 20_000])
+def test_keep_latest_means_the_same_for_any_batch(spark, table, csv_file, size):
+    insert_into(spark.createDataFrame([(1, 2, "b")], "k int, o int, v string"), table)
+    path = csv_file("in.csv", "k,o,v\n" + "".join(f"{5 + i},1,n\n" for i in range(size)))
+    load(spark, table, path, mode="keep_latest", key=["k"], order=["o"])
+    assert rows(spark.table(table).where("k < 5")) == [(0, 0, "a"), (1, 2, "b"), (2, 2, "a")]
+    assert spark.table(table).count() == 3 + size
+
+
+@pytest.mark.parametrize("columns", ["k int, o int", "k int, o int, v string, w string"])
+def test_other_columns_are_refused(spark, table, columns):
+    before = rows(spark.table(table))
+    df = spark.createDataFrame([], columns)
+    for write in (insert_into, replace_table):
+        with pytest.raises(ValueError, match="differ in columns: [vw]"):
+            write(df, table)
+    assert rows(spark.table(table)) == before
+
+
+def test_scalar_rules_gate_every_mode(spark, table, csv_file):
+    before = rows(spark.table(table))
+    path = csv_file("in.csv", "k,o,v\n9,-1,b\n")
+    negative = ("SELECT count(*) FROM {table} WHERE o < 0", 0)
+    for mode in ("append", "truncate", "keep_latest"):
+        with pytest.raises(QualityError, match="actual=1"):
+            load(spark, table, path, mode=mode, key=["k"], order=["o"], rules=[negative])
+        assert rows(spark.table(table)) == before
+    load(spark, table, path, mode="truncate", rules=[("SELECT max(k) FROM {table}", 9)])
+    assert rows(spark.table(table)) == [(9, -1, "b")]
+    assert tables(spark, table) == ["t"]
+
+
 def test_mode_arguments(spark, table, csv_file):
     path = csv_file("in.csv", "k,o,v\n")
     with pytest.raises(ValueError, match="needs a key"):

@@ -118,9 +118,6 @@ def test_single_file(spark, tmp_path):
     assert len(part_files(tmp_path / "one")) == 1
     write_csv(df, str(tmp_path / "many"))
     assert len(part_files(tmp_path / "many")) == 4
-    with pytest.raises(ValueError, match="too many"):
-        write_csv(df, str(tmp_path / "no"), single_file=True, single_file_rows=99)
-    assert not os.path.exists(tmp_path / "no")
     write_csv(df.limit(0), str(tmp_path / "one"), single_file=True)
     assert [open(f).read() for f in part_files(tmp_path / "one")] == ["id\n"]
 
@@ -153,6 +150,9 @@ def test_list_find_and_read(spark, csv_file, tmp_path):
     assert list_files(spark, source, glob="*.csv", recursive=False).count() == 1
     assert [r[1] for r in rows(find_file(spark, f"{source}/c.txt"))] == [1]
     assert find_file(spark, source).count() == find_file(spark, f"{source}/").count() == 0
+    for name in ("b[1].csv", "b{1}*.csv"):
+        path = csv_file(f"odd/{name}", "x\n")
+        assert [r[1] for r in rows(find_file(spark, path))] == [2]
     with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
         find_file(spark, f"{source}/none.txt")
     assert {r.content for r in read_files(spark, source).collect()} == {"é\n1\n", "b\n", "c"}
@@ -176,6 +176,33 @@ def test_landing_replaces_by_name_and_keeps_the_rest(spark, csv_file, tmp_path):
     assert rows(read_landed(spark, target, "a.csv")) == sorted(a, key=str)
 
 
+def test_an_empty_file_replaces_too(spark, csv_file, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "raw")
+    csv_file("in/a b=c+1%.csv", "h\na1\n")
+    csv_file("in/b.csv", "h\nb1\n")
+    land_raw(spark, source, target)
+    assert read_landed(spark, target, "a b=c+1%.csv").count() == 2
+    csv_file("in/a b=c+1%.csv", "")
+    land_raw(spark, source, target)
+    assert rows(read_landed(spark, target)) == [("b1", "b.csv"), ("h", "b.csv")]
+
+
+def test_equal_names_are_refused(spark, csv_file, tmp_path):
+    csv_file("one/a.csv", "x\n1\n")
+    csv_file("two/a.csv", "x\n2\n")
+    target = str(tmp_path / "raw")
+    with pytest.raises(ValueError, match="called a.csv"):
+        land_raw(spark, [str(tmp_path / "one"), str(tmp_path / "two")], target)
+    assert not os.path.exists(target)
+
+
+def test_windows_line_ends_read_as_csv(spark, csv_file, tmp_path):
+    csv_file("in/w.csv", 'a,b\r\n1,"x, y"\r\n\r\n2,\r\n')
+    land_raw(spark, str(tmp_path / "in"), str(tmp_path / "raw"))
+    landed = read_landed_csv(spark, str(tmp_path / "raw"), ["a", "b"])
+    assert rows(landed) == [("1", "x, y"), ("2", None)]
+
+
 def test_a_large_file_lands_in_several_tasks(spark, csv_file, tmp_path):
     csv_file("in/big.csv", "".join(f"line {i}\n" for i in range(40_000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "100KB")
@@ -238,6 +265,10 @@ class Recorder:
         self.told[name] = value
         return self
 
+    def repartition(self, parts):
+        self.parts = parts
+        return self
+
     def mode(self, mode):
         self.told["mode"] = mode
         return self
@@ -292,7 +323,9 @@ def test_jdbc_read_options(database):
     for wrong in (
         {},
         {"table": "t", "query": "q"},
+        {"table": "t"},
         {"table": "t", "split_on": "id"},
+        {"table": "t", "split_on": "id", "bounds": (0, 1), "one_connection": True},
         {"query": "q", "split_on": "id", "bounds": (0, 1)},
     ):
         with pytest.raises(ValueError):
@@ -313,6 +346,7 @@ def test_jdbc_write_options(database):
     df = Recorder()
     replace_jdbc(df, database, "s.t")
     assert df.told["mode"] == "overwrite" and df.told["truncate"] is True
+    assert df.parts == 16
 
 
 def test_jdbc_without_a_driver_fails_loudly(spark):
@@ -320,4 +354,4 @@ def test_jdbc_without_a_driver_fails_loudly(spark):
     with pytest.raises(Exception, match="No suitable driver"):
         append_jdbc(spark.range(1), nowhere, "t")
     with pytest.raises(Exception, match="No suitable driver"):
-        read_jdbc(spark, nowhere, "t")
+        read_jdbc(spark, nowhere, "t", one_connection=True)

@@ -5,7 +5,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tallyloom.operators import count_outcomes, tally
-from tallyloom.operators.skew import hot_keys, join_unique
 from tallyloom.plans import MEDALS
 from tallyloom.sources import name_for_sql, read_csv
 
@@ -120,10 +119,10 @@ def test_shuffled_join_of_a_hot_key(spark):
     dim = spark.range(20_000).selectExpr("id AS noc").unionAll(spark.range(1).toDF("noc"))
     spec = {k: v for k, v in MEDALS.items() if k != "key_value"}
     expected = rows(tally(fact, dim, **spec))
-    assert hot_keys(fact, "noc") == [0]
     result = tally(fact, dim, **spec, broadcast_bytes=0)
-    # The hot key's rows meet a broadcast row; the others are shuffled.
-    assert plan(result).count("SortMergeJoin") == plan(result).count("BroadcastHashJoin") == 1
+    # The fact is read once and counted before its shuffle.
+    assert plan(result).count("Range (0, 30000") == plan(result).count("SortMergeJoin") == 1
+    assert "Broadcast" not in plan(result)
     assert rows(result) == expected
     # 10,000 rows of the hot key count twice.
     assert sum(r[1] for r in expected) == 5_000 * 2 + sum(
@@ -147,40 +146,37 @@ def test_hot_dimension_key_with_many_groups(spark):
         assert rows(tally(fact, dim, **spec, broadcast_bytes=limit)) == expected
 
 
-@pytest.mark.parametrize("kind", ["string", "int", "double", "date", "decimal(9,2)", "timestamp"])
-def test_join_unique(spark, kind):
-    key = f"cast(CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS {kind})"
-    if kind in ("date", "timestamp"):
-        day = "DATE '2020-01-01' + cast(CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS int)"
-        key = f"cast({day} AS {kind})"
-    many = spark.range(6_000).selectExpr(f"nullif({key}, {key.replace('id', '5')}) AS k", "id AS v")
-    unique = spark.range(3_000).where("id % 3 <> 0 OR id = 0").selectExpr(f"{key} AS k", "id AS u")
-    assert len(hot_keys(many, "k")) == 1
-    joined = join_unique(many, unique, "k")
-    assert rows(joined) == rows(many.join(unique, "k"))
-    assert joined.count() == 2_000 + 2_000 - 1
-
-
-def test_many_hot_keys_and_none(spark):
-    many = spark.range(10_000).selectExpr("id % 500 AS k", "id AS v")
-    unique = spark.range(400).selectExpr("id AS k", "id AS u")
-    assert len(hot_keys(many, "k")) == 500
-    assert join_unique(many, unique, "k").count() == 8_000
-    assert hot_keys(many.limit(0), "k") == []
-    assert join_unique(many.limit(0), unique, "k").count() == 0
-
-
-def test_hot_keys_of_many_partitions_without_adaptive_execution(spark):
-    many = spark.range(0, 40_000, 1, 40).selectExpr(
-        "CASE WHEN id % 4 = 0 THEN 'x' WHEN id < 500 THEN 'y' ELSE cast(id AS string) END AS k"
-    )
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        assert sorted(hot_keys(many, "k")) == ["x", "y"]
-        assert hot_keys(many.where("k = 'none'"), "k") == []
-        assert hot_keys(many.selectExpr("cast(null AS string) AS k"), "k") == []
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
+KEYS = {
+    "string": ["'07'", "'7'", "'8'", "'0'", "NULL"],
+    "int": ["7", "8", "0", "NULL"],
+    "bigint": ["7", "8", "0", "NULL"],
+    "double": ["7.0", "8.0", "-0.0", "0.0", "double('NaN')", "NULL"],
+    "date": ["DATE '2020-01-07'", "DATE '2020-01-08'", "NULL"],
+    "day": ["'2020-01-07'", "'2020-01-08'", "NULL"],
+}
+
+
+@pytest.mark.parametrize(
+    "fact_kind, dim_kind",
+    [("string", "int"), ("int", "string"), ("int", "bigint"), ("double", "int"),
+     ("double", "double"), ("date", "day"), ("day", "date"), ("string", "string")],
+)
+@pytest.mark.parametrize("group_of", ["fact", "dim"])
+def test_all_ways_agree_on_keys_of_any_types(spark, fact_kind, dim_kind, group_of):
+    def keys(kind, extra):
+        values = ", ".join(f"({k}, {i})" for i, k in enumerate(KEYS[kind]))
+        return spark.sql(f"SELECT noc, {extra} FROM VALUES {values} AS t(noc, i), (SELECT explode(sequence(1, 5)) AS c)")
+
+    sport = "concat('s', i % 2) AS sport"
+    medal = "CASE WHEN c % 2 = 0 THEN 'Gold' ELSE 'NA' END AS medal"
+    fact = keys(fact_kind, f"{medal}, {sport}" if group_of == "fact" else medal)
+    dim = keys(dim_kind, sport if group_of == "dim" else "i")
+    spec = {k: v for k, v in MEDALS.items() if k != "key_value"}
+    name_for_sql({"golden_fact": fact, "golden_dim": dim})
+    expected = rows(spark.sql(SQL.format(where="")))
+    assert expected
+    for limit in (64 << 20, 0):
+        assert rows(tally(fact, dim, **spec, broadcast_bytes=limit)) == expected
 
 
 def test_plan_filters_both_scans_and_broadcasts(spark, tmp_path):
