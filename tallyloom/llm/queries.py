@@ -12,6 +12,7 @@ from tallyloom.llm.fertility import fertility_rules
 from tallyloom.llm.fm_classifier import fit, score
 from tallyloom.llm.line_chunks import dedup_lines
 from tallyloom.llm.ngram_trie import near_duplicates
+from tallyloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from tallyloom.llm.pii import personal_data
 from tallyloom.llm.prefix_free import remove_repeats
 from tallyloom.llm.secrets import find_secrets
@@ -88,5 +89,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_cutting_stock_packing,
     )
 }
-#: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
