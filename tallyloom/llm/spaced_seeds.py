@@ -10,6 +10,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.store import materialize
 from tallyloom.llm.words import LOWER, PUNCTUATION, blocks, mix, word_hashes
 
 #: A 1 is a word that must match, a 0 one that may differ.
@@ -88,22 +89,26 @@ class Seeds:
 
 
 def _seed_blocks(
-    docs: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, masks: tuple[str, ...]
-) -> list[Broadcast]:
-    """The benchmark's seeds, in blocks of at most :data:`BLOCK_BYTES` of text, one at least."""
+    docs: DataFrame,
+    benchmark: DataFrame,
+    item_col: str,
+    text_col: str,
+    masks: tuple[str, ...],
+    block_bytes: int,
+) -> Iterator[tuple[Broadcast, bool]]:
+    """The benchmark's seeds block by block, of ``block_bytes`` of text on average, one at
+    least, and whether the block is the last."""
     items = benchmark.select(
         F.col(item_col).cast("long").alias("item"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     ).where("item is not null and text <> ''")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // BLOCK_BYTES) or 1
-    sent = []
+    n = -(-size // block_bytes) or 1
     for block in range(n):
         table = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == block).toArrow()
         texts = table.column("text").combine_chunks()
         seeds = Seeds(table.column("item").to_pylist(), texts, masks)
-        sent.append(docs.sparkSession.sparkContext.broadcast(seeds))
-    return sent
+        yield docs.sparkSession.sparkContext.broadcast(seeds), block == n - 1
 
 
 SCHEMA = "doc_id long, contaminated boolean, n_items long, item_ids array<long>, best_overlap double"
@@ -119,6 +124,7 @@ def contamination(
     window: int = 20,
     min_share: float = 0.8,
     masks: tuple[str, ...] = MASKS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per document with the benchmark items that it contains.
 
@@ -128,25 +134,27 @@ def contamination(
     successive words of it (all, if it has fewer) agree in at least ``min_share``, so
     substituted words are tolerated in the seed and in the check.
 
-    The benchmark is the query set. Its seeds go to the executors in blocks of at
-    most :data:`BLOCK_BYTES` of text, one pass over the documents each, so its size
-    is bounded at any time; documents are never shuffled or paired with each other.
+    The benchmark is the query set. Its seeds go to the executors in blocks of
+    ``block_bytes`` of text, one pass over the documents each. Each pass but the last
+    is written to the shared folder before its block is given up for the next, so one
+    block at a time is held; documents are never shuffled or paired with each other.
 
     A NULL or empty text or item matches nothing, as does an item without an id;
     items with one id count once. Repeated documents give repeated rows, an empty
     table gives none, other columns are not read.
     """
-    blocks_ = _seed_blocks(docs, benchmark, item_col, item_text_col, masks)
     found = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = found.withColumns(
         {"found": F.array().cast("array<long>"), "best": F.lit(0.0).cast("double")}
     )
-    for k, sent in enumerate(blocks_):
-        last = k == len(blocks_) - 1
+    for sent, last in _seed_blocks(docs, benchmark, item_col, item_text_col, masks, block_bytes):
         found = found.mapInArrow(
             lambda batches, sent=sent, last=last: _scan(batches, sent.value, window, min_share, last),
             SCHEMA if last else found.schema,
         )
+        if not last:
+            found = materialize(found, "scanned")
+            sent.destroy()
     return found
 
 
@@ -159,10 +167,11 @@ def decontaminate(
     window: int = 20,
     min_share: float = 0.8,
     masks: tuple[str, ...] = MASKS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The documents, with all their columns, in which :func:`contamination` finds no item."""
     place = docs.columns.index(text_col)
-    for sent in _seed_blocks(docs, benchmark, item_col, item_text_col, masks):
+    for sent, last in _seed_blocks(docs, benchmark, item_col, item_text_col, masks, block_bytes):
 
         def rows(batches: Iterator[pa.RecordBatch], sent: Broadcast = sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -170,6 +179,9 @@ def decontaminate(
                 yield batch.filter(pa.array([not x for x in items], pa.bool_()))
 
         docs = docs.mapInArrow(rows, docs.schema)
+        if not last:
+            docs = materialize(docs, "scanned")
+            sent.destroy()
     return docs
 
 

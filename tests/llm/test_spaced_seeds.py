@@ -3,7 +3,6 @@
 import random
 import re
 
-from tallyloom.llm import spaced_seeds
 from tallyloom.llm.queries import op8_spaced_seed_contamination
 from tallyloom.llm.spaced_seeds import contamination, decontaminate
 
@@ -35,7 +34,7 @@ def found(df):
     return {r["doc_id"]: r["item_ids"] for r in df.collect()}
 
 
-def test_substitutions_punctuation_and_case(llm, documents, monkeypatch):
+def test_substitutions_punctuation_and_case(llm, documents):
     rng = random.Random(1)
     vocabulary = [f"w{i}" for i in range(300)]
     own = [rng.choices(vocabulary, k=n) for n in (40, 25, 20, 12)] + [["just", "four", "short", "words"]]
@@ -59,10 +58,11 @@ def test_substitutions_punctuation_and_case(llm, documents, monkeypatch):
     missed = sum(len(want[i]) - len(got[i]) for i in want)
     assert missed <= 0.05 * sum(map(len, want.values()))
     assert got[122] == [14]
-    monkeypatch.setattr(spaced_seeds, "BLOCK_BYTES", 100)
-    assert found(contamination(documents(texts), bench)) == got
-    clean = decontaminate(documents(texts).selectExpr("*", "1 as best", "2 as found"), bench)
-    assert {r["doc_id"] for r in clean.collect()} == {i for i in got if not got[i]}
+    assert found(contamination(documents(texts), bench, block_bytes=100)) == got
+    extra = documents(texts).selectExpr("*", "1 as best", "2 as found")
+    for size in (100, 1 << 20):
+        clean = decontaminate(extra, bench, block_bytes=size)
+        assert {r["doc_id"] for r in clean.collect()} == {i for i in got if not got[i]}
 
 
 def test_empty_tables_and_repeated_rows(llm, documents):
