@@ -23,6 +23,13 @@ CONTEXT = {
     "iban": ("iban", "bank", "account", "transfer"),
     "ssn": ("ssn", "social security", "insurance number"),
 }
+#: Characters of an account number, by country.
+IBAN_LENGTHS = {
+    "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24,
+    "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IT": 27, "LT": 20,
+    "LU": 20, "LV": 21, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19,
+    "SK": 24, "TR": 26,
+}
 CONTEXT_CHARS = 40
 CONTEXT_SCORE = 0.2
 KEEP_SCORE = 0.5
@@ -52,6 +59,17 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
 
 
+def _account(match: str) -> str:
+    """The match as far as its country's accounts go, where that ends a group of it."""
+    length = IBAN_LENGTHS.get(match[:2], 0)
+    own = ""
+    for group in match.split(" ") if length else ():
+        own = f"{own} {group}" if own else group
+        if len(own.replace(" ", "")) == length:
+            return own
+    return match
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """From each @ to both sides, so that long words without one cost nothing."""
     free, at = 0, text.find("@")
@@ -72,7 +90,8 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 def _numbers(text: str, kind: str) -> Iterator[tuple[int, int]]:
     if kind == "ip":
         for m in _IP.finditer(text):
-            if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+            parts = [part.lstrip("0") for part in m[0].split(".")]
+            if all(len(part) <= 3 and int(part or 0) <= 255 for part in parts):
                 yield m.span()
     elif kind == "card":
         for m in _CARD.finditer(text):
@@ -86,9 +105,10 @@ def _numbers(text: str, kind: str) -> Iterator[tuple[int, int]]:
                 yield m.span()
     elif kind == "iban":
         for m in _IBAN.finditer(text):
-            compact = m[0].replace(" ", "")
+            own = _account(m[0])
+            compact = own.replace(" ", "")
             if 15 <= len(compact) <= 34 and mod97(compact):
-                yield m.span()
+                yield m.start(), m.start() + len(own)
     else:
         for m in _SSN.finditer(text):
             area, group, serial = m[0].split("-")

@@ -55,6 +55,9 @@ def test_checksums_and_context():
     assert mod97("GB82WEST12345698765432") and not mod97("GB83WEST12345698765432")
     kinds = lambda text: [s[1] for s in find(text)]
     assert kinds("pay to GB82 WEST 1234 5698 7654 32 now") == [4]
+    assert kinds("PAY GB82 WEST 1234 5698 7654 32 AND 7 MORE") == [4]
+    assert find("GB82 WEST 1234 5698 7654 32 AND")[0][2] == 27
+    assert kinds("0" * 5000 + "1.2.3.4") == [1]
     assert kinds("number 123-45-6789 of parts") == []
     assert kinds("her SSN is 123-45-6789.") == [5]
     assert find("write to a@b.org")[0][3] > find("see a@b.org")[0][3]
