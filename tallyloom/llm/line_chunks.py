@@ -125,17 +125,28 @@ def dedup_lines(
     )
     joined = rows.join(broadcast_if_small(removals), ["__id", "__hash"], "left")
 
-    def removed(chunks: Column) -> Column:
-        return F.filter(chunks, lambda c: F.array_contains("__gone", c["pos"]))
-
-    gone = F.when(F.col("__gone").isNotNull(), removed(_chunks(F.col(text_col))))
-    joined = joined.withColumn("__out", gone)
-    left = _let(
-        F.flatten(F.transform("__out", lambda c: F.sequence(c["from"], c["from"] + c["n"] - 1))),
-        lambda out: F.array_join(
-            F.filter(F.split(text_col, "\n", -1), lambda _, i: ~F.array_contains(out, i)), "\n"
-        ),
-    )
+    def cut_out(chunks: Column) -> Column:
+        """The removed chunks, and the lines of the others; linear in both."""
+        every = F.sequence(F.lit(0), F.size(chunks) - 1)
+        return _let(
+            F.split(text_col, "\n", -1),
+            lambda lines: F.struct(
+                F.transform("__gone", lambda p: F.get(chunks, p)).alias("out"),
+                F.array_join(
+                    F.flatten(
+                        F.transform(
+                            F.transform(F.array_except(every, "__gone"), lambda p: F.get(chunks, p)),
+                            lambda c: F.slice(lines, c["from"] + 1, c["n"]),
+                        )
+                    ),
+                    "\n",
+                ).alias("text"),
+            ),
+        )
+
+    parts = F.when(F.col("__gone").isNotNull(), _let(_chunks(F.col(text_col)), cut_out))
+    joined = joined.withColumn("__parts", parts)
+    joined = joined.withColumns({"__out": F.col("__parts.out"), "__left": F.col("__parts.text")})
     n_out = F.coalesce(F.size("__out"), F.lit(0)).cast("long")
     lines_out = F.coalesce(
         F.aggregate("__out", F.lit(0).cast("long"), lambda a, c: a + c["n"]), F.lit(0).cast("long")
@@ -143,7 +154,7 @@ def dedup_lines(
     n_lines = F.coalesce(F.size(F.split(text_col, "\n", -1)), F.lit(0)).cast("long")
     return joined.select(
         *[
-            F.when(F.col("__out").isNotNull(), left).otherwise(F.col(c)).alias(c)
+            F.when(F.col("__out").isNotNull(), F.col("__left")).otherwise(F.col(c)).alias(c)
             if c == text_col
             else F.col(f"`{c}`")
             for c in docs.columns

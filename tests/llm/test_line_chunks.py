@@ -79,6 +79,12 @@ def test_rows_of_one_id_and_extra_columns(documents):
     assert dedup_lines(documents([])).collect() == []
 
 
+def test_long_text_of_repeats(documents):
+    text = "\n".join(f"row {i % 9000}" for i in range(40_000))
+    got = rows(dedup_lines(documents([(2, text), (5, text)])))
+    assert got == brute([(2, text), (5, text)])
+
+
 def test_query_on_the_table(llm):
     sf_dir = "/root/testdata/sf0.01"
     docs = llm.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
