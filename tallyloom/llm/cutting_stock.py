@@ -250,7 +250,7 @@ def pack_cutting_stock(
     places = spark.createDataFrame(
         table, "length long, low long, high long, copies long, first long, at long"
     )
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "start", "doc_tokens")
+    within = Window.partitionBy("length", "salt").orderBy("doc_id", "start", "doc_tokens", "ids_crc32")
     ranked = (
         cut.withColumn("row", F.row_number().over(within) - 1)
         .join(F.broadcast(base.select("length", "salt", "base")), ["length", "salt"])
