@@ -16,6 +16,7 @@ from tallyloom.llm.words import LOWER, SPACE, blocks, mix, window_hashes, word_h
 
 WIDTH = 5  # words of a shingle
 HASHES = 1 << 19  # shingles that one group of the counting steps holds, on average
+PIVOTS = 16  # sets of a large component that all others of it are compared with first
 GROUP_BYTES = 8 << 20  # of sets that one trie task holds, on average
 _LAST_ID = (1 << 63) - 1  # stands for a NULL id, which comes last
 _SHORT = np.uint64(0x2545F4914F6CDD1D)
@@ -387,9 +388,13 @@ class Trie:
             self.one[k] = roots.pop()
 
 
-def link_sets(hashes: list[np.ndarray], counts: list[np.ndarray], sizes: list[int]) -> list[int]:
+def link_sets(
+    hashes: list[np.ndarray], counts: list[np.ndarray], sizes: list[int], known: list[int] | None = None
+) -> list[int]:
     """For each set the smallest index that it is linked with, directly or over others.
 
+    Sets with equal ``known`` labels are linked already.
+
     The sets' shared hashes are ordered by their count in the corpus, most frequent
     first, so that sets of one origin share long paths.
     """
@@ -399,6 +404,9 @@ def link_sets(hashes: list[np.ndarray], counts: list[np.ndarray], sizes: list[in
     rank_of[order] = np.arange(len(all_h))
     ranks = [np.sort(rank_of[np.searchsorted(all_h, h)]) for h in hashes]
     trie, forest = Trie(ranks, sizes), Forest(len(sizes))
+    first: dict[int, int] = {}
+    for a, label in enumerate(known or ()):
+        forest.union(a, first.setdefault(label, a))
     marked = np.zeros(len(all_h), bool)
     for a in range(len(sizes)):
         trie.link(a, marked, forest)
@@ -411,12 +419,13 @@ def _link_group(table: pa.Table) -> pa.Table:
     roots = table.column("root").to_numpy()
     sids = table.column("sid").to_numpy()
     sizes = table.column("n").to_pylist()
+    labels = table.column("label").to_pylist()
     edges = [0, *(np.flatnonzero(roots[1:] != roots[:-1]) + 1).tolist(), len(roots)]
     out: list[np.ndarray] = []
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         h = [np.frombuffer(x, np.uint64) for x in table.column("h")[a:b].to_pylist()]
         d = [np.frombuffer(x, np.int64) for x in table.column("d")[a:b].to_pylist()]
-        out.append(sids[a:b][link_sets(h, d, sizes[a:b])])
+        out.append(sids[a:b][link_sets(h, d, sizes[a:b], labels[a:b])])
     return pa.table({"node": sids, "root": np.concatenate(out)})
 
 
@@ -468,25 +477,83 @@ def _linked(texts: DataFrame, classes: DataFrame, group_bytes: int) -> DataFrame
     )
     total, most = weights.agg(F.sum("bytes"), F.max("blocks")).first()
     tasks = max(1, -(-int(total or 0) // group_bytes))
-    # A component of one block shares a task with others. Of a larger one, every two
-    # blocks meet in a task, so no task holds it whole and no pair of sets is missed.
+    # A component of one block shares a task with others; larger ones are taken apart.
     block = F.pmod(F.xxhash64("sid"), F.col("blocks"))
-    with_blocks = grouped.join(weights.select("root", "blocks"), "root").withColumn("block", block)
+    with_blocks = grouped.join(weights.select("root", "blocks"), "root").withColumns(
+        {"block": block, "label": F.col("sid")}
+    )
     small = with_blocks.where("blocks = 1").withColumn(
         "task", F.pmod(F.xxhash64("root"), F.lit(tasks)).cast("string")
     )
-    large = (
-        with_blocks.where("blocks > 1")
+    if (most or 0) <= 1:
+        return materialize(_links(small), "links")
+    return _link_large(small, with_blocks.where("blocks > 1"), group_bytes)
+
+
+def _links(rows: DataFrame) -> DataFrame:
+    """(node, root) of the sets that are linked within a task."""
+    found = rows.select("task", "root", "sid", "n", "h", "d", "label").groupBy("task")
+    return found.applyInArrow(_link_group, "node long, root long").where("node <> root")
+
+
+def _link_large(small: DataFrame, large: DataFrame, group_bytes: int) -> DataFrame:
+    """(node, root) of all linked sets, where some components are of several blocks.
+
+    Each block is linked first, together with the same few pivots of its component, so
+    that what is close to a pivot is one group over all blocks. Two sets of the largest
+    group need not meet any more; every other set then meets all sets. So the work is
+    linear in a component whose sets are mostly alike, and no pair is missed in any.
+    """
+    salt = F.pmod(F.xxhash64("sid", F.lit(1)), F.lit(PIVOTS))
+    pivots = large.groupBy("root", salt).agg(F.min("sid").alias("sid")).select("sid")
+    everywhere = (
+        large.join(broadcast_if_small(materialize(pivots, "pivots")), "sid")
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .withColumn("task", F.concat_ws(":", "root", F.least("block", "other"), F.greatest("block", "other")))
+        .where("other <> block")
+        .withColumn("block", F.col("other"))
+        .drop("other")
+    )
+    dealt = large.unionByName(everywhere).withColumn("task", F.concat_ws(":", "root", "block"))
+    near = materialize(_links(small.unionByName(dealt)), "links")
+    groups = components(near, "node", "root").select(F.col("node").alias("sid"), F.col("root").alias("label"))
+    labels = materialize(
+        large.select("root", "sid", (F.length("h") * 2).alias("bytes"))
+        .join(groups, "sid", "left")
+        .withColumn("label", F.coalesce("label", "sid")),
+        "labels",
+    )
+    by_label = labels.groupBy("root", "label").agg(F.sum("bytes").alias("bytes"))
+    largest = by_label.groupBy("root").agg(
+        F.max(F.struct("bytes", "label")).alias("most"), F.sum("bytes").alias("total")
+    )
+    n_blocks = lambda size: F.ceil(size / group_bytes)
+    largest = materialize(
+        largest.select(
+            "root",
+            F.col("most.label").alias("main"),
+            n_blocks(F.col("most.bytes")).alias("main_blocks"),
+            n_blocks(F.col("total") - F.col("most.bytes")).alias("rest_blocks"),
+        ).where("rest_blocks > 0"),
+        "largest",
     )
-    rows = small.unionByName(large.drop("other")) if (most or 0) > 1 else small
-    linked = rows.select("task", "root", "sid", "n", "h", "d").groupBy("task").applyInArrow(
-        _link_group, "node long, root long"
+    if largest.isEmpty():
+        return components(near, "node", "root")
+    known = labels.select("sid", "label")
+    open_ = large.drop("label", "blocks", "block").join(known, "sid").join(broadcast_if_small(largest), "root")
+    # Every block of the rest meets every block of the largest group, and every other of the rest.
+    count = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    in_main, in_rest = (F.pmod(F.xxhash64("sid"), F.col(f"{n}_blocks")) for n in ("main", "rest"))
+    main = open_.where("label = main").withColumns({"x": count("rest_blocks")})
+    main = main.withColumn("task", F.concat_ws(":", F.lit("m"), "root", "x", in_main))
+    rest = open_.where("label <> main").withColumn("own", in_rest)
+    to_main = rest.withColumn("x", count("main_blocks"))
+    to_main = to_main.withColumn("task", F.concat_ws(":", F.lit("m"), "root", "own", "x"))
+    to_rest = rest.withColumn("x", count("rest_blocks")).where("x <> own")
+    to_rest = to_rest.withColumn(
+        "task", F.concat_ws(":", F.lit("r"), "root", F.least("own", "x"), F.greatest("own", "x"))
     )
-    if (most or 0) > 1:
-        return components(linked, "node", "root")
-    return materialize(linked.where("node <> root"), "links")
+    far = _links(main.unionByName(to_main.drop("own")).unionByName(to_rest.drop("own")))
+    return components(near.unionByName(far), "node", "root")
 
 
 def _grouped(
@@ -537,7 +604,7 @@ def near_duplicates(
     most frequent shingle first, make a prefix tree, which every set is taken through:
     overlaps of common paths are counted once, and a subtree is pruned by the bounds
     on what remains, by size, or when it is already in the set's component. A
-    component beyond ``group_bytes`` is split into blocks, of which every two meet.
+    component beyond ``group_bytes`` is split into blocks, see :func:`_link_large`.
 
     A NULL or empty text, or one of separators alone, has an empty set and is linked
     with nothing. Rows without an id are linked like others and come last: a component

@@ -72,6 +72,25 @@ def test_matches_all_pairs(documents, seed, group_bytes):
     assert got == brute(dict(enumerate(texts)))
 
 
+@pytest.mark.parametrize("step, pivots", [(1, 16), (3, 1)])
+def test_large_components(documents, monkeypatch, step, pivots):
+    """A window that moves on links neighbours only; copies of one text link all around it."""
+    monkeypatch.setattr(ngram_trie, "PIVOTS", pivots)
+    rng = random.Random(step)
+    chain = [f"c{i}" for i in range(400)]
+    texts = [" ".join(chain[k : k + 60]) for k in range(0, 300, step)]
+    base = [f"b{i}" for i in range(100)]
+    for k in range(60):
+        own = list(base)
+        for _ in range(k % 4):
+            own[rng.randrange(100)] = f"e{k}"
+        texts.append(" ".join(own))
+    rng.shuffle(texts)
+    got = rows(near_duplicates(documents(texts), group_bytes=20_000))
+    assert got == brute(dict(enumerate(texts)))
+    assert max(Counter(c for _, c in got.values()).values()) >= 100
+
+
 def test_many_parts(documents, monkeypatch):
     monkeypatch.setattr(ngram_trie, "HASHES", 64)
     texts = corpus(5)
