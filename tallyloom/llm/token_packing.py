@@ -74,7 +74,7 @@ MATRIX = (
 )
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
-    "offset long, sequence_tokens long"
+    "offset long, sequence_tokens long, ids binary, positions binary, cu_lengths array<int>"
 )
 
 
@@ -97,29 +97,13 @@ class _Block:
     def pack(self) -> tuple[np.ndarray, np.ndarray, list[int]]:
         return best_fit_decreasing(np.array([len(p[3]) for p in self.pieces], np.int64), self.length)
 
-    def rows(self, base: int) -> tuple[pa.RecordBatch, int]:
-        """One row per piece, and the number of sequences."""
-        bins, offsets, filled = self.pack()
-        docs, starts, totals, ids = zip(*self.pieces, strict=True)
-        columns = [
-            pa.array(docs, pa.int64()),
-            pa.array(starts, pa.int64()),
-            pa.array([len(i) for i in ids], pa.int64()),
-            pa.array([zlib.crc32(i.astype("<u4").tobytes()) for i in ids], pa.int64()),
-            pa.array(totals, pa.int64()),
-            pa.array(bins + base),
-            pa.array(offsets),
-            pa.array(np.array(filled, np.int64)[bins]),
-        ]
-        return pa.RecordBatch.from_arrays(columns, _names(PIECES)), len(filled)
-
-    def matrices(self, base: int, pad_id: int) -> Iterator[tuple[pa.RecordBatch, int]]:
-        """One row per sequence, some hundred at a time, and the number of sequences."""
+    def sequences(self, pad_id: int) -> Iterator[list[tuple]]:
+        """Some hundred sequences at a time: (place, pieces, padded ids, positions, cumulative lengths)."""
         bins, offsets, filled = self.pack()
         order = np.lexsort((offsets, bins))
         edges = np.searchsorted(bins[order], np.arange(len(filled) + 1))
         for low in range(0, len(filled), 512):
-            rows: list[tuple] = []
+            made: list[tuple] = []
             for b in range(low, min(low + 512, len(filled))):
                 members = [self.pieces[p] for p in order[edges[b] : edges[b + 1]]]
                 ids = np.full(self.length, pad_id, "<u4")
@@ -130,13 +114,36 @@ class _Block:
                     ids[ends[-1] : stop] = own
                     positions[ends[-1] : stop] = np.arange(len(own))
                     ends.append(stop)
+                made.append((b, members, ids, positions, ends))
+            yield made
+
+    def rows(self, base: int, pad_id: int) -> Iterator[tuple[pa.RecordBatch, int]]:
+        """One row per piece, read from its sequence's row, and the number of sequences so far."""
+        for made in self.sequences(pad_id):
+            rows: list[tuple] = []
+            for b, members, ids, positions, ends in made:
+                for k, (doc, start, total, _) in enumerate(members):
+                    own = ids[ends[k] : ends[k + 1]]
+                    row = (doc, start, len(own), zlib.crc32(own.tobytes()), total, base + b, ends[k], ends[-1])
+                    rows.append((*row, *((None,) * 3 if k else (ids.tobytes(), positions.tobytes(), ends))))
+            types = [pa.int64()] * 8 + [pa.binary(), pa.binary(), pa.list_(pa.int32())]
+            yield _record(PIECES, rows, types), made[-1][0] + 1
+
+    def matrices(self, base: int, pad_id: int) -> Iterator[tuple[pa.RecordBatch, int]]:
+        """One row per sequence, and the number of sequences so far."""
+        for made in self.sequences(pad_id):
+            rows: list[tuple] = []
+            for b, members, ids, positions, ends in made:
                 docs, starts = [m[0] for m in members], [m[1] for m in members]
-                row = (base + b, ends[-1], ids.tobytes(), positions.tobytes(), ends, docs, starts)
-                rows.append(row)
+                rows.append((base + b, ends[-1], ids.tobytes(), positions.tobytes(), ends, docs, starts))
             types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int32())]
             types += [pa.list_(pa.int64())] * 2
-            arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, _names(MATRIX)), len(filled)
+            yield _record(MATRIX, rows, types), made[-1][0] + 1
+
+
+def _record(schema: str, rows: list[tuple], types: list[pa.DataType]) -> pa.RecordBatch:
+    arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, _names(schema))
 
 
 def pack_tokens(
@@ -156,7 +163,9 @@ def pack_tokens(
     room that still takes them. With ``matrices`` the result has one row per
     sequence: the padded ids and their positions, which start again at each piece, as
     little-endian unsigned 32-bit numbers, the cumulative lengths, and where each
-    piece comes from. Otherwise it has one row per piece.
+    piece comes from. Otherwise it has one row per piece, with its place and the
+    checksum of its ids there, and the sequence's ids, positions and cumulative lengths
+    in the row of its first piece (offset 0).
 
     Each task packs what it reads, ``block_tokens`` at a time, so no text is shuffled,
     memory is bounded by a block and the longest document, and only the last rows
@@ -177,8 +186,8 @@ def pack_tokens(
             nonlocal base, block
             if block.pieces:
                 used = 0
-                made = block.matrices(base, pad_id) if matrices else [block.rows(base)]
-                for batch, used in made:
+                made = block.matrices if matrices else block.rows
+                for batch, used in made(base, pad_id):
                     yield batch
                 base, block = base + used, _Block(length)
 

@@ -140,3 +140,23 @@ def test_queries_on_the_table(llm):
     assert sum(filled) / sum(padded(n, 1024) for n in filled) > 0.999
     filled = check_pieces(op7_token_packing(llm, sf_dir).collect(), texts, 2048)
     assert sum(filled) / (2048 * len(filled)) > 0.97
+
+
+def test_query_gives_the_matrices(llm):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r[0]: r[1] for r in llm.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    by_sequence = defaultdict(list)
+    for r in op7_token_packing(llm, sf_dir).collect():
+        by_sequence[r["sequence_id"]].append(r)
+    for pieces in by_sequence.values():
+        pieces.sort(key=lambda r: r["offset"])
+        assert all(r[c] is None for r in pieces[1:] for c in ("ids", "positions", "cu_lengths"))
+        first = pieces[0]
+        ids, positions = (np.frombuffer(first[c], "<u4") for c in ("ids", "positions"))
+        assert len(ids) == len(positions) == 2048
+        ends = [0, *np.cumsum([r["length"] for r in pieces]).tolist()]
+        assert first["cu_lengths"] == ends and ends[-1] == first["sequence_tokens"]
+        want = [i for r in pieces for i in ids_of(texts[r["doc_id"]])[r["start"] : r["start"] + r["length"]]]
+        assert ids.tolist() == want + [0] * (2048 - ends[-1])
+        places = [p for r in pieces for p in range(r["length"])]
+        assert positions.tolist() == places + [0] * (2048 - ends[-1])
