@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,9 +17,12 @@ from tallyloom.llm.words import blocks, mix, prefix_sums, range_hash, text_bytes
 LENGTH = 100  # bytes of a repeated string
 PHRASES = 1 << 19  # that one group holds, on average
 SALT_DOCS = 1 << 20  # documents whose phrases one group may hold
-BYTES = 16 << 20  # of phrases that one group of the comparison holds, on average
+BYTES = 16 << 20  # of phrases or strings that one group of the comparison holds, on average
+HOT = 1 << 14  # different phrases of one trigger beyond which they are dealt out by content
+BUCKETS = 1 << 16  # of triggers, in which phrases to compare are counted
 _LAST_ID = (1 << 63) - 1  # stands for a NULL id, which comes last
 _REPLY, _AGAIN = 0, 1
+_MARK = (1 << 32) - 1  # a start that no text has: says that a trigger has several phrases
 
 PARSE = "kind int, part int, salt int, f binary, e binary, i binary, s binary, w binary, ids binary, ths binary"
 FOUND = "id long, hash long, gone binary, at binary, wide binary, trigger binary"
@@ -152,15 +156,39 @@ def _dealt(owner: np.ndarray, owners: int, kind: int, columns: dict[str, np.ndar
     ]
 
 
-def _compare_phrases(parts: int, owners: int, last: bool) -> Callable[[pa.Table], pa.Table]:
+def _forward(parts: int, hot: int, columns: dict[str, np.ndarray]) -> list[tuple]:
+    """First places of phrases, by trigger and content, for the step that sees all documents.
+
+    They are dealt out by trigger. The phrases of one that has more than ``hot`` here go,
+    by content, to the second ``parts`` groups, and two marks go in their place.
+    """
+    f, e = columns["f"], columns["e"]
+    used, inverse, n = np.unique(f, return_inverse=True, return_counts=True)
+    many, part = (n > hot)[inverse], (f % np.uint64(parts)).astype(np.int64)
+    part[many] = parts + (mix(f[many] ^ e[many]) % np.uint64(parts)).astype(np.int64)
+    marked = np.repeat(used[n > hot], 2)
+    marks = {c: np.zeros(len(marked), x.dtype) for c, x in columns.items()}
+    marks |= {"f": marked, "s": np.full(len(marked), _MARK, np.uint32)}
+    marks["e"][1::2] = ~np.uint64(0)
+    part = np.concatenate([part, (marked % np.uint64(parts)).astype(np.int64)])
+    columns = {c: np.concatenate([x, marks[c]]) for c, x in columns.items()}
+    rows = _dealt(part, 2 * parts, _AGAIN, columns)
+    # Each place has an entry of its own in the list of documents.
+    return [(*r[:5], np.arange(len(r[6]) // 4, dtype=np.uint32).tobytes(), *r[6:]) for r in rows]
+
+
+def _compare_phrases(parts: int, owners: int, last: bool, hot: int = HOT) -> Callable[[pa.Table], pa.Table]:
     """The dictionary of a part: phrases by trigger and content, each with its first place.
 
     Every other place of a phrase is a repetition as a whole. The first places of the
     phrases of a trigger that has several are to be compared string by string. Before
-    the last step the first places go on to the step that sees all documents.
+    the last step the first places go on to the step that sees all documents. There a
+    phrase of a hot trigger may have a first place in two groups; its strings are then
+    compared from both.
     """
 
     def run(table: pa.Table) -> pa.Table:
+        by_content = last and table.column("part")[0].as_py() >= parts
         found = []
         for f, e, i, s, w, ids, ths in zip(*(table.column(c).to_pylist() for c in _names(PARSE)[3:]), strict=True):
             own = np.frombuffer(i, np.uint32)
@@ -184,9 +212,10 @@ def _compare_phrases(parts: int, owners: int, last: bool) -> Callable[[pa.Table]
         new_e[1:] |= e[1:] != e[:-1]
         place = new_e.copy()
         place[1:] |= (doc[1:] != doc[:-1]) | (th[1:] != th[:-1]) | (s[1:] != s[:-1])
-        gone = place & ~new_e
+        mark = s == _MARK
+        gone = place & ~new_e & ~mark
         trigger = np.cumsum(new_f) - 1
-        several = np.bincount(trigger, new_e)[trigger] > 1
+        several = ((np.bincount(trigger, new_e)[trigger] > 1) | by_content) & ~mark
         rows: list[tuple] = []
         if last:
             shown = gone | (new_e & several)
@@ -200,11 +229,7 @@ def _compare_phrases(parts: int, owners: int, last: bool) -> Callable[[pa.Table]
             rows = _dealt(_owner(doc[gone], owners), owners, _REPLY, columns)
             columns = {"f": f, "e": e, "s": s, "w": w, "ids": doc, "ths": th}
             columns = {name: c[new_e] for name, c in columns.items()}
-            columns["i"] = np.zeros(int(new_e.sum()), np.uint32)
-            part = (columns["f"] % np.uint64(parts)).astype(np.int64)
-            again = _dealt(part, parts, _AGAIN, columns)
-            # Each place has an entry of its own in the list of documents.
-            rows += [(*r[:5], np.arange(len(r[6]) // 4, dtype=np.uint32).tobytes(), *r[6:]) for r in again]
+            rows += _forward(parts, hot, columns)
         return _table(PARSE, rows)
 
     return run
@@ -231,8 +256,45 @@ def _by_document(table: pa.Table) -> pa.Table:
 PHRASE_BYTES = "part int, s binary, w binary, ids binary, ths binary, bytes binary"
 
 
-def _cut_phrases(parts: int, length: int, limit: int = 16 << 20):
-    """The bytes of the phrases to compare, dealt out by their trigger."""
+def _bucket(f: np.ndarray) -> np.ndarray:
+    return (mix(f) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def _count_borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The phrases to compare and their strings, by bucket of triggers."""
+    phrases, strings = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        f = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+        w = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8)
+        bucket = _bucket(f)
+        np.add.at(phrases, bucket, 1)
+        np.add.at(strings, bucket, w.astype(np.int64) + 1)
+    used = np.flatnonzero(phrases)
+    columns = [pa.array(used), pa.array(phrases[used]), pa.array(strings[used])]
+    yield pa.RecordBatch.from_arrays(columns, ["bucket", "phrases", "strings"])
+
+
+def _string_hashes(strings: np.ndarray) -> np.ndarray:
+    """One hash for each row of bytes."""
+    n, length = strings.shape
+    out, step = np.zeros(n, np.uint64), max(1, (1 << 19) // length)
+    for low in range(0, n, step):
+        some = strings[low : low + step]
+        at = np.arange(len(some)) * length
+        out[low : low + step] = range_hash(prefix_sums(some.ravel()), at, at + length)
+    return out
+
+
+def _cut_phrases(parts: int, length: int, hot: frozenset[int] = frozenset(), hot_parts: int = 1, limit: int = 16 << 20):
+    """The bytes of the phrases to compare, dealt out by their trigger.
+
+    Phrases of triggers in ``hot`` buckets are cut into their strings, which are dealt
+    out by their bytes to ``hot_parts`` groups beyond ``parts``. Of equal strings met
+    together only the first goes there; the places of the others, which are
+    repetitions, go without bytes to groups beyond these.
+    """
+    is_hot = np.zeros(BUCKETS, bool)
+    is_hot[list(hot)] = True
 
     def flush(found: list[tuple]) -> pa.RecordBatch:
         rows = []
@@ -245,14 +307,64 @@ def _cut_phrases(parts: int, length: int, limit: int = 16 << 20):
             rows.append((part, *(x.tobytes() for x in blobs), b"".join(raw)))
         return _batch(PHRASE_BYTES, rows)
 
+    def flush_strings(found: list[tuple]) -> pa.RecordBatch:
+        s, doc, th, strings = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((s, th, doc))
+        # A document that stands in several rows has each place once.
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([np.diff(x[order]) != 0 for x in (s, doc, th)], axis=0)
+        order = order[new]
+        keys = strings.view(f"S{length}").ravel()
+        order = order[np.argsort(keys[order], kind="stable")]
+        first = np.ones(len(order), bool)
+        first[1:] = keys[order[1:]] != keys[order[:-1]]
+        shown, known = order[first], order[~first]
+        rows: list[tuple] = []
+        dealt = (
+            (shown, parts, _string_hashes(strings[shown])),
+            (known, parts + hot_parts, mix(doc[known].view(np.uint64))),
+        )
+        for own, low, hashes in dealt:
+            part = (hashes % np.uint64(hot_parts)).astype(np.int64)
+            by_part = np.argsort(part, kind="stable")
+            own, part = own[by_part], part[by_part]
+            edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(own)] if len(own) else []
+            for a, b in itertools.pairwise(edges):
+                some = own[a:b]
+                blobs = (s[some].astype(np.uint32), np.zeros(b - a, np.uint8), doc[some], th[some])
+                raw = strings[some].tobytes() if low == parts else b""
+                rows.append((low + int(part[a]), *(x.tobytes() for x in blobs), raw))
+        return _batch(PHRASE_BYTES, rows)
+
+    def cut_strings(data: np.ndarray, low: int, start: np.ndarray, width: np.ndarray, doc: int, th: int):
+        """The strings of phrases of one document, some thousand phrases at a time."""
+        step = max(1, limit // (length * length))
+        windows = np.lib.stride_tricks.sliding_window_view(data, length)
+        for k in range(0, len(start), step):
+            counts = width[k : k + step].astype(np.int64) + 1
+            inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            s = np.repeat(start[k : k + step].astype(np.int64), counts) + inner
+            keys = np.full(len(s), doc, np.int64), np.full(len(s), th, np.int64)
+            yield s, *keys, np.ascontiguousarray(windows[low + s])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, total = [], 0
+        single, n_single = [], 0
         for batch in batches:
             data, offsets = text_bytes(batch.column(2))
             keys = zip(*(batch.column(c).to_pylist() for c in (0, 1, 3, 4, 5)), strict=True)
             for r, (doc, th, at, wide, trigger) in enumerate(keys):
-                f = np.frombuffer(trigger, np.uint64) % np.uint64(parts)
+                f = np.frombuffer(trigger, np.uint64)
                 s, w = np.frombuffer(at, np.uint32), np.frombuffer(wide, np.uint8)
+                if hot and (many := is_hot[_bucket(f)]).any():
+                    for strings in cut_strings(data, int(offsets[r]), s[many], w[many], doc, th):
+                        single.append(strings)
+                        n_single += len(strings[0])
+                        if n_single * length >= limit:
+                            yield flush_strings(single)
+                            single, n_single = [], 0
+                    f, s, w = f[~many], s[~many], w[~many]
+                f = f % np.uint64(parts)
                 for part, start, width in zip(f.tolist(), s.tolist(), w.tolist(), strict=True):
                     low = int(offsets[r]) + start
                     found.append((part, start, width, doc, th, data[low : low + width + length].tobytes()))
@@ -262,6 +374,8 @@ def _cut_phrases(parts: int, length: int, limit: int = 16 << 20):
                     found, total = [], 0
         if found:
             yield flush(found)
+        if single:
+            yield flush_strings(single)
 
     return run
 
@@ -271,7 +385,8 @@ def _compare_strings(owners: int, length: int, limit: int = 1 << 17) -> Callable
 
     The phrases' suffixes of ``length`` bytes or more are put in corpus order, then
     sorted by their first eight bytes and, in runs, by all of them; the sorts are
-    stable, so of equal strings the first one of the corpus comes first.
+    stable, so of equal strings the first one of the corpus comes first. Places without
+    bytes are known repetitions and only handed on.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -279,9 +394,16 @@ def _compare_strings(owners: int, length: int, limit: int = 1 << 17) -> Callable
         s, w, doc, th, data = (
             np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()]) for c, t in kinds.items()
         )
+        if not len(data):
+            columns = {"f": np.zeros(len(s), np.uint64), "e": w, "s": s, "w": w, "ids": doc, "ths": th}
+            return _table(PARSE, _dealt(_owner(doc, owners), owners, _REPLY, columns))
         size = w.astype(np.int64) + length
         begin = np.cumsum(size) - size
         order = np.lexsort((s, th, doc))
+        # A document that stands in several rows, or was met in two groups, counts once.
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([np.diff(x[order]) != 0 for x in (s, doc, th)], axis=0)
+        order = order[new]
         counts = w[order].astype(np.int64) + 1
         own = np.repeat(order, counts)
         inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -372,6 +494,7 @@ def remove_repeats(
     texts: bool = False,
     salt_docs: int = SALT_DOCS,
     phrases: int = PHRASES,
+    hot: int = HOT,
 ) -> DataFrame:
     """One row per document without the bytes of strings that start earlier in the corpus.
 
@@ -390,9 +513,13 @@ def remove_repeats(
     border strings by their bytes.
 
     Groups are by trigger and, beyond ``salt_docs`` documents, by shares of the
-    documents first, each of which passes one place per phrase on; so a passage of very
-    many documents is never gathered in one task. What is found comes back to the texts
-    by id, in two joins over one shuffle of the texts.
+    documents first, each of which passes one place per phrase on. That reduces the
+    inner phrases of a passage of very many documents, but not those at its borders,
+    which share a trigger and differ in each document. Of a trigger with more than
+    ``hot`` phrases the shares pass them on by content, and the strings of its phrases
+    are compared in groups by their own bytes, after each task has left one place per
+    string; so neither is gathered in one task. What is found comes back to the texts by
+    id, in two joins over one shuffle of the texts.
 
     NULL is an empty text. A NULL id comes after all others; rows that agree in id and
     text are one document, with one result for each row; rows of one id with other
@@ -412,7 +539,7 @@ def remove_repeats(
 
     parsed = given.where(F.octet_length("text") >= length).select("id", "hash", "text")
     parsed = parsed.mapInArrow(_parsed(parts, salts, length), PARSE)
-    found = parsed.groupBy("part", "salt").applyInArrow(_compare_phrases(parts, owners, salts == 1), PARSE)
+    found = parsed.groupBy("part", "salt").applyInArrow(_compare_phrases(parts, owners, salts == 1, hot), PARSE)
     if salts > 1:
         found = materialize(found, "parse")
         again = found.where(F.col("kind") == _AGAIN).groupBy("part")
@@ -422,13 +549,18 @@ def remove_repeats(
     found = materialize(found.groupBy("part").applyInArrow(_by_document, FOUND), "found")
 
     borders = found.where(F.length("at") > 0).select("id", "hash", "at", "wide", "trigger")
-    n_strings = borders.agg(F.sum(F.length("wide"))).first()[0] or 0
-    groups = -(-n_strings * (length + length // 4) // BYTES) or 1
+    n_phrases = borders.agg(F.sum(F.length("wide"))).first()[0] or 0
+    groups = -(-n_phrases * (length + length // 4) // BYTES) or 1
+    counted = borders.select("trigger", "wide").mapInArrow(_count_borders, "bucket long, phrases long, strings long")
+    counted = counted.groupBy("bucket").agg(F.sum("phrases").alias("phrases"), F.sum("strings").alias("strings"))
+    above = counted.where(F.col("phrases") > max(hot, 4 * n_phrases // BUCKETS)).collect()
+    buckets = frozenset(r["bucket"] for r in above)
+    hot_parts = -(-sum(r["strings"] for r in above) * length // BYTES) or 1
     # All columns of the texts go along, so that both joins share one shuffle of them.
     fetched = given.join(borders, ["id", "hash"]).select(
         "id", "hash", "text", "at", "wide", "trigger", "doc_id"
     )
-    compared = fetched.mapInArrow(_cut_phrases(groups, length), PHRASE_BYTES).groupBy("part")
+    compared = fetched.mapInArrow(_cut_phrases(groups, length, buckets, hot_parts), PHRASE_BYTES).groupBy("part")
     compared = compared.applyInArrow(_compare_strings(owners, length), PARSE)
     compared = compared.groupBy("part").applyInArrow(_by_document, FOUND)
     gone = found.select("id", "hash", F.col("gone").alias("whole")).join(

@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from tallyloom.llm import prefix_free
 from tallyloom.llm.prefix_free import remove_repeats
 from tallyloom.llm.queries import op4_prefix_free_dedup
 
@@ -70,3 +71,43 @@ def test_query_on_the_table(llm):
     sf_dir = "/root/testdata/sf0.01"
     docs = llm.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     assert rows(op4_prefix_free_dedup(llm, sf_dir)) == brute([tuple(d) for d in docs])
+
+
+@pytest.mark.parametrize("options", [{}, {"salt_docs": 40, "phrases": 64}], ids=["one", "salted"])
+def test_borders_of_a_passage_in_all_documents_are_split(documents, monkeypatch, options):
+    rng = random.Random(7)
+    passage = "".join(rng.choices("abcdefgh", k=260))
+    texts = ["".join(rng.choices("ijklmnop", k=130)) for _ in range(400)]
+    docs = [(i, t[:65] + passage + t[65:]) for i, t in enumerate(texts)]
+    docs += [docs[5], docs[5], (400, docs[5][1][3:300] + "z" * 90)]
+    largest = {"strings": 30_000, "phrases": 300}
+
+    def bounded_strings(*args):
+        run = real_strings(*args)
+
+        def bounded(table):
+            size = sum(len(x) for x in table.column("bytes").to_pylist())
+            assert size <= largest["strings"], size
+            return run(table)
+
+        return bounded
+
+    def bounded_phrases(parts, owners, last, *more):
+        run = real_phrases(parts, owners, last, *more)
+
+        def bounded(table):
+            size = sum(len(x) // 4 for x in table.column("s").to_pylist())
+            assert not last or owners == parts or size <= largest["phrases"], size
+            return run(table)
+
+        return bounded
+
+    real_strings, real_phrases = prefix_free._compare_strings, prefix_free._compare_phrases
+    monkeypatch.setattr(prefix_free.remove_repeats, "__defaults__", tuple(
+        8 if d == 1 << 14 else d for d in prefix_free.remove_repeats.__defaults__
+    ))
+    monkeypatch.setattr(prefix_free, "BYTES", 8_000)
+    monkeypatch.setattr(prefix_free, "_compare_strings", bounded_strings)
+    monkeypatch.setattr(prefix_free, "_compare_phrases", bounded_phrases)
+    got = rows(remove_repeats(documents(docs, partitions=12), **options))
+    assert got == brute(sorted(set(docs)))
