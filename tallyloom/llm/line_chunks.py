@@ -163,3 +163,80 @@ def dedup_lines(
         lines_out.alias("n_removed_lines"),
         F.when(F.col("__out").isNull(), F.lit(0).cast("long")).otherwise(n_out).alias("n_removed_chunks"),
     )
+
+
+def _pairs(text: Column) -> Column:
+    """Structs (from, n, bytes, hash) of a text's pairs: a worded line up to the next worded one."""
+
+    def with_worded(lines: Column) -> Column:
+        places = F.filter(
+            F.transform(lines, lambda x, i: F.when(F.trim(x) != "", i)), lambda i: i.isNotNull()
+        )
+        return _let(places, lambda w: F.transform(F.slice(w, 2, F.size(w)), lambda end, k: pair(lines, w, end, k)))
+
+    def pair(lines: Column, worded: Column, end: Column, k: Column) -> Column:
+        start = F.get(worded, k)
+        n = end - start + 1
+        return _let(
+            F.array_join(F.slice(lines, start + 1, n), "\n"),
+            lambda own: F.struct(
+                start.alias("from"), n.alias("n"), own.alias("bytes"), F.xxhash64(own).alias("hash")
+            ),
+        )
+
+    return _let(F.split(text, "\n", -1), with_worded)
+
+
+def dedup_line_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without the runs of two or more worded lines that stand earlier.
+
+    A pair is a line that is not blank, the next such line, and the blank ones between.
+    All lines of a pair go wherever the same bytes stood before it, in a document of a
+    smaller id or further up in the same one, so a repeated run goes from its first
+    worded line to its last whatever stands around it. All pairs of the input count,
+    also those that go themselves; the first place of a line always stays. All columns
+    are kept, with the new text, and ``n_lines``, ``n_removed_lines`` and
+    ``n_removed_runs`` are added (columns of these names are replaced).
+
+    Counting moves one hash per pair; bytes move for pairs whose hash repeats. NULL and
+    empty texts, NULL ids and rows of one id are treated as in :func:`dedup_lines`.
+    """
+    docs = docs.drop("n_lines", "n_removed_lines", "n_removed_runs")
+    key = {
+        "__id": F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)),
+        "__hash": F.xxhash64(F.col(text_col)),
+    }
+    rows = docs.withColumns(key)
+    pairs = rows.where(F.col(text_col).isNotNull()).select(
+        "__id", "__hash", F.explode(_pairs(F.col(text_col))).alias("p")
+    )
+    hashes = pairs.select(F.col("p.hash").alias("hash"))
+    repeated = materialize(hashes.groupBy("hash").count().where("count > 1").select("hash"), "pairs")
+    texts = pairs.select("__id", "__hash", "p.*").join(broadcast_if_small(repeated), "hash")
+    texts = materialize(texts, "pairs")
+    place = F.struct("__id", "__hash", "from")
+    first = texts.groupBy("hash", "bytes").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = first.where("last > first").select("hash", "bytes", "first")
+    later = texts.join(first, ["hash", "bytes"]).where(place > F.col("first"))
+    places = later.select("__id", "__hash", F.explode(F.sequence("from", F.col("from") + F.col("n") - 1)).alias("i"))
+    removals = places.groupBy("__id", "__hash").agg(F.collect_set("i").alias("__gone"))
+    removals = materialize(removals, "pairs")
+    joined = rows.join(broadcast_if_small(removals), ["__id", "__hash"], "left")
+
+    def left(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    split = F.split(text_col, "\n", -1)
+    new = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(_let(split, left))
+
+    def count(value: Column) -> Column:
+        return F.when(value.isNull(), F.lit(0)).otherwise(F.size(value)).cast("long")
+
+    runs = F.array_except("__gone", F.transform("__gone", lambda i: i + 1))
+    return joined.select(
+        *[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
+        count(split).alias("n_lines"),
+        count(F.col("__gone")).alias("n_removed_lines"),
+        count(runs).alias("n_removed_runs"),
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.cutting_stock import pack_cutting_stock
 from tallyloom.llm.fertility import fertility_rules
 from tallyloom.llm.fm_classifier import fit, score
-from tallyloom.llm.line_chunks import dedup_lines
+from tallyloom.llm.line_chunks import dedup_line_runs, dedup_lines
 from tallyloom.llm.ngram_trie import near_duplicates
 from tallyloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from tallyloom.llm.pii import personal_data
@@ -58,6 +58,17 @@ def op6_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_line_runs(_read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_lines",
+        "n_removed_lines",
+        "n_removed_runs",
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op7_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_tokens(_read(spark, sf_dir, "documents"), matrices=False)
 
@@ -83,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_prefix_free_dedup,
         op5_factorisation_quality,
         op6_line_chunk_dedup,
+        op6_line_run_dedup,
         op7_token_packing,
         op8_spaced_seed_contamination,
         op9_personal_data,
