@@ -627,8 +627,8 @@ def keep_one_of_each(
 ) -> DataFrame:
     """The documents, with all their columns, but of each component only the one of least id.
 
-    Documents without words stay. Of rows that agree in id and text one stays, of rows
-    of one id with other texts that of the least hash.
+    Documents without words stay, each row of them. Of other rows that agree in id and
+    text one stays, of rows of one id with other texts that of the least hash.
     """
     rows, classes = _grouped(docs, id_col, text_col, group_bytes)
     worded = rows.where("n > 0")
@@ -642,5 +642,7 @@ def keep_one_of_each(
     key = {f"__{name}": c for name, c in _key(id_col, text_col).items()}
     kept = docs.withColumns(key).join(broadcast_if_small(others), ["__id", "__hash"], "left_anti")
     if not worded.groupBy("id", "hash").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["__id", "__hash"])
-    return kept.drop("__id", "__hash")
+        has_words = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+        copy = F.when(~has_words, F.monotonically_increasing_id())  # NULL, one group, if worded
+        kept = kept.withColumn("__copy", copy).dropDuplicates(["__id", "__hash", "__copy"])
+    return kept.drop("__id", "__hash", "__copy")

@@ -139,3 +139,11 @@ def test_query_on_the_table(llm):
     sf_dir = "/root/testdata/sf0.01"
     texts = {r[0]: r[1] for r in llm.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
     assert rows(op2_ngram_trie_join(llm, sf_dir)) == brute(texts)
+
+
+@pytest.mark.parametrize("text", ["one two three four five six", "word"])
+def test_a_repeated_row_leaves_rows_without_words(documents, text):
+    bare = [(2, " "), (2, " "), (3, "\n\t"), (None, ""), (None, ""), (None, None), (None, None)]
+    for repeated in ([], [(1, text), (1, text)]):
+        kept = [(r["doc_id"], r["text"]) for r in keep_one_of_each(documents([*bare, *repeated])).collect()]
+        assert sorted(map(str, kept)) == sorted(map(str, [*bare, *repeated[:1]]))
