@@ -99,8 +99,78 @@ union all
 select doc_id, 0, 0, 0, null from documents where text is null
 """
 
+OP12 = """
+with e as (
+    select distinct vec_id,
+        list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v,
+        case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+    select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same,
+        cast(list_inner_product(a.v, b.v) as bigint) as score
+    from e a join e b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+), p as (
+    select anchor_id, other as positive_id, score as positive_score from s where same
+    qualify row_number() over (partition by anchor_id order by score desc, other) <= 5
+)
+select p.anchor_id, p.positive_id, cast(row_number() over w as integer) as rank,
+    s.other as negative_id, p.positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not s.same
+    and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score
+window w as (partition by p.anchor_id, p.positive_id order by s.score desc, s.other)
+qualify row_number() over w <= 3
+"""
+
+OP13 = rf"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+        translate(text, '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents where text is not null
+), words as materialized (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), grams as (
+    select lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+        lambda i: array_to_string(w[i : i + k - 1], ' '))) as phrase
+    from words, (select unnest([1, 2, 3, 4]) as k) where len(w) >= k
+), f as materialized (
+    select lang, k, phrase, count(*) as a from grams group by all
+), total as (
+    select lang, sum(a) as n from f where k = 1 group by lang
+), c as materialized (
+    select lang, k, phrase, a, string_split(phrase, ' ') as w from f where k > 1 and a >= 30
+), parts as materialized (
+    select lang, phrase, a, i, array_to_string(w[1 : i], ' ') as head,
+        array_to_string(w[i + 1 : k], ' ') as rest
+    from c, (select unnest([1, 2, 3]) as i) s where i < k
+), cuts as (
+    select p.lang, p.phrase, p.a, p.i, l.a as l, r.a as r,
+        cast((2000000 * p.a::hugeint) // (l.a + r.a) as bigint) as score
+    from parts p join f l on l.lang = p.lang and l.phrase = p.head
+    join f r on r.lang = p.lang and r.phrase = p.rest
+), scored as (
+    select * from cuts qualify row_number() over (partition by lang, phrase order by score, i) = 1
+), inside as (
+    select lang, a, array_to_string(w[i : i + m - 1], ' ') as phrase
+    from c, (select unnest([2, 3]) as m) x, (select unnest([1, 2, 3]) as i) y
+    where m < k and i + m - 1 <= k
+), longer as (
+    select lang, phrase, max(a) as most from inside group by all
+)
+select s.lang, cast(row_number() over w as integer) as rank, s.phrase, s.a, s.l, s.r,
+    cast(t.n as bigint) as n, s.score
+from scored s join total t on t.lang = s.lang
+left join longer g on g.lang = s.lang and g.phrase = s.phrase
+where g.most is null or 100 * g.most::hugeint < 80 * s.a::hugeint
+window w as (partition by s.lang order by s.score desc, s.a desc, s.phrase)
+qualify row_number() over w <= 2000
+"""
+
 ORACLE_SQL = {
     "op2_ngram_trie_join": OP2,
     "op4_prefix_free_dedup": OP4,
     "op6_line_chunk_dedup": OP6,
+    "op12_multi_index_negatives": OP12,
+    "op13_collocations": OP13,
 }

@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.collocations import collocations
 from tallyloom.llm.cutting_stock import pack_cutting_stock
 from tallyloom.llm.fertility import fertility_rules
 from tallyloom.llm.fm_classifier import fit, score
 from tallyloom.llm.line_chunks import dedup_line_runs, dedup_lines
+from tallyloom.llm.multi_index import hard_negatives
 from tallyloom.llm.ngram_trie import near_duplicates
 from tallyloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from tallyloom.llm.pii import personal_data
+from tallyloom.llm.pivotal_mix import mixing_plan
 from tallyloom.llm.prefix_free import remove_repeats
 from tallyloom.llm.secrets import find_secrets
 from tallyloom.llm.spaced_seeds import contamination
@@ -85,6 +88,21 @@ def op10_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_cutting_stock(_read(spark, sf_dir, "documents"))
 
 
+def op11_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing_plan(_read(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op12_multi_index_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _read(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives(vectors, anchors=F.col("vec_id") % 50 == 0)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,5 +117,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_spaced_seed_contamination,
         op9_personal_data,
         op10_cutting_stock_packing,
+        op11_pivotal_mixing,
+        op12_multi_index_negatives,
+        op13_collocations,
     )
 }
