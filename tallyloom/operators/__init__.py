@@ -8,13 +8,14 @@ from tallyloom.operators.quality import (
     row_count_rules,
     scalar_rule,
 )
-from tallyloom.operators.tally import count_outcomes, tally
+from tallyloom.operators.tally import count_outcomes, count_per_key, tally, tally_counts
 
 __all__ = [
     "Constraints",
     "QualityError",
     "constraint_rules",
     "count_outcomes",
+    "count_per_key",
     "count_violations",
     "first_cell_rule",
     "latest_per_key",
@@ -23,4 +24,5 @@ __all__ = [
     "row_count_rules",
     "scalar_rule",
     "tally",
+    "tally_counts",
 ]

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.names import column_of, free_name, quoted
 from tallyloom.operators.quality import as_rules
 
 
@@ -32,15 +33,17 @@ def constraint_rules(df: DataFrame, table_name: str, constraints: Constraints) -
     nothing but keys and combines repeated ones first, so a hot key costs one row
     per task.
     """
-    checks = {f"null_{c}": F.col(c).isNull() for c in constraints.not_null}
-    checks |= {f"long_{c}": F.length(c) > n for c, n in constraints.max_length.items()}
+    checks = {f"null_{c}": column_of(df, c).isNull() for c in constraints.not_null}
+    checks |= {f"long_{c}": F.length(column_of(df, c)) > n for c, n in constraints.max_length.items()}
     found = []
     if checks:
         counts = [F.count(F.when(p, 1)).alias(name) for name, p in checks.items()]
         found.append(as_rules(df.agg(*counts), table_name))
     if constraints.key:
-        per_key = df.groupBy(*constraints.key).agg((F.count("*") - 1).alias("__extra"))
-        extra = F.coalesce(F.sum("__extra"), F.lit(0)).alias("extra_keys")
+        n = free_name("extra", df.columns)
+        keys = [column_of(df, c) for c in constraints.key]
+        per_key = df.groupBy(*keys).agg((F.count("*") - 1).alias(n))
+        extra = F.coalesce(F.sum(quoted(n)), F.lit(0)).alias("extra_keys")
         found.append(as_rules(per_key.agg(extra), table_name))
     if not found:
         raise ValueError("no constraint given")

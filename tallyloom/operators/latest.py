@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators.names import column_of, free_name, quoted
+
 
 def latest_per_key(
     df: DataFrame,
@@ -32,8 +34,11 @@ def latest_per_key(
     def descending(name: str | Column) -> Column:
         if isinstance(name, Column):
             return name
-        return F.desc_nulls_first(name) if nulls_first else F.desc_nulls_last(name)
-
-    window = Window.partitionBy(*key).orderBy(*[descending(c) for c in (*order, *ties)])
-    ranked = df.withColumn("__n", F.row_number().over(window))
-    return ranked.where(F.col("__n") == 1).drop("__n")
+        by = column_of(df, name)
+        return by.desc_nulls_first() if nulls_first else by.desc_nulls_last()
+
+    keys = [column_of(df, name) for name in key]
+    window = Window.partitionBy(*keys).orderBy(*[descending(c) for c in (*order, *ties)])
+    n = free_name("__n", df.columns)
+    ranked = df.withColumn(n, F.row_number().over(window))
+    return ranked.where(F.col(quoted(n)) == 1).drop(n)

@@ -9,6 +9,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators.names import column_of, quoted
+
 
 class QualityError(ValueError):
     """A quality rule or constraint failed."""
@@ -35,7 +37,7 @@ def null_rules(
     ``actual`` is the column's number of NULLs and ``rule`` the column's name.
     All columns are counted in one pass.
     """
-    counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns])
+    counts = df.agg(*[F.count(F.when(column_of(df, c).isNull(), 1)).alias(c) for c in columns])
     return as_rules(counts, table_name, expected)
 
 
@@ -49,7 +51,7 @@ def first_cell_rule(result: DataFrame, table_name: str, rule: str, expected: Any
 
     A result without rows gives a NULL and fails, unless NULL is expected.
     """
-    first_cell = result.select(F.col(f"`{result.columns[0]}`").alias("actual")).limit(1)
+    first_cell = result.select(F.col(quoted(result.columns[0])).alias("actual")).limit(1)
     actual_type = first_cell.schema["actual"].dataType
     return first_cell.agg(F.max("actual").alias("actual")).select(
         F.lit(table_name).alias("table_name"),
@@ -70,7 +72,7 @@ def require(rules: DataFrame) -> None:
 
 def as_rules(counts: DataFrame, table_name: str, expected: int = 0) -> DataFrame:
     """Turn a one-row DataFrame of counts into one rule row per column."""
-    return counts.unpivot([], counts.columns, "rule", "actual").select(
+    return counts.unpivot([], [quoted(c) for c in counts.columns], "rule", "actual").select(
         F.lit(table_name).alias("table_name"),
         "rule",
         "actual",

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.names import column_of, free_name, quoted
 from tallyloom.operators.size import fits
 
-_KEY, _COPIES = "__key", "__copies"
-
 
 def _predicates(
-    outcome: str, outcomes: Mapping[str, Any], not_value: Any, total: str
+    df: DataFrame, outcome: str, outcomes: Mapping[str, Any], not_value: Any, total: str
 ) -> dict[str, Column]:
-    value_of = F.col(outcome)
+    value_of = column_of(df, outcome)
     predicates = {
         name: value_of.isNull() if value is None else value_of == F.lit(value)
         for name, value in outcomes.items()
@@ -42,8 +41,8 @@ def count_outcomes(
     anything else. A NULL group is a group, and a group without hits keeps its
     row of zeros.
     """
-    predicates = _predicates(outcome, outcomes, not_value, total)
-    return df.groupBy(group).agg(
+    predicates = _predicates(df, outcome, outcomes, not_value, total)
+    return df.groupBy(column_of(df, group)).agg(
         *[F.count(F.when(p, 1)).alias(name) for name, p in predicates.items()]
     )
 
@@ -77,30 +76,99 @@ def tally(
     compared as Spark compares them in a join, so both ways count the same.
     """
     fact_key, dim_key = (on, on) if isinstance(on, str) else on
-    predicates = _predicates(outcome, outcomes, not_value, total)
-    dim_groups = [] if group.lower() in map(str.lower, fact.columns) else [group]
-
-    used = dim.select(F.col(dim_key).alias(_KEY), *dim_groups).where(F.col(_KEY).isNotNull())
-    if key_value is not None:
-        used = used.where(F.col(_KEY) == F.lit(key_value).cast(used.schema[_KEY].dataType))
-    copies = used.groupBy(*used.columns).agg(F.count("*").alias(_COPIES))
-    rows = fact.withColumn(_KEY, F.col(fact_key))
-
-    fits_all = (key_value is not None and not dim_groups) or fits(used, broadcast_bytes)
-    if fits_all:
-        copies = F.broadcast(copies)
-    if fits_all and (not dim_groups or _one_row_per_key(copies)):
-        needed = rows.select(*dict.fromkeys([_KEY, outcome, *([] if dim_groups else [group])]))
-        weights = {n: F.when(p, F.col(_COPIES)).otherwise(0) for n, p in predicates.items()}
-        joined = needed.join(copies, _KEY)
-    else:
-        per_key = rows.groupBy(*dict.fromkeys([_KEY, *([] if dim_groups else [group])])).agg(
-            *[F.count(F.when(p, 1)).alias(n) for n, p in predicates.items()]
+    predicates = _predicates(fact, outcome, outcomes, not_value, total)
+    dim_groups = [] if _has(fact, group) else [group]
+    weights = _Copies(dim, dim_key, dim_groups, key_value, [*fact.columns, *predicates])
+    fits_all = weights.fit(key_value, broadcast_bytes)
+    if not (fits_all and (not dim_groups or weights.one_row_per_key())):
+        per_key = count_per_key(
+            fact, [fact_key, *([] if dim_groups else [group])], outcome, outcomes, not_value, total
         )
-        weights = {n: F.col(n) * F.col(_COPIES) for n in predicates}
-        joined = per_key.join(copies if fits_all else copies.hint("merge"), _KEY)
-    return joined.groupBy(group).agg(*[F.sum(w).alias(n) for n, w in weights.items()])
+        return weights.sums(per_key, fact_key, group, list(predicates), fits_all)
+    names = dict.fromkeys([fact_key, outcome, *([] if dim_groups else [group])])
+    needed = fact.select(*[column_of(fact, name) for name in names])
+    joined = weights.join(needed, fact_key, F.broadcast)
+    counted = {n: F.when(p, weights.number).otherwise(0) for n, p in predicates.items()}
+    return joined.groupBy(column_of(joined, group)).agg(
+        *[F.sum(w).alias(n) for n, w in counted.items()]
+    )
+
+
+def count_per_key(
+    fact: DataFrame,
+    by: Sequence[str],
+    outcome: str,
+    outcomes: Mapping[str, Any],
+    not_value: Any = None,
+    total: str = "total",
+) -> DataFrame:
+    """:func:`count_outcomes` by several columns: counts that :func:`tally_counts` can go on with."""
+    predicates = _predicates(fact, outcome, outcomes, not_value, total)
+    return fact.groupBy(*[column_of(fact, name) for name in dict.fromkeys(by)]).agg(
+        *[F.count(F.when(p, 1)).alias(name) for name, p in predicates.items()]
+    )
 
 
-def _one_row_per_key(copies: DataFrame) -> bool:
-    return copies.groupBy(_KEY).count().where(F.col("count") > 1).isEmpty()
+def tally_counts(
+    counts: DataFrame,
+    dim: DataFrame,
+    on: str | tuple[str, str],
+    group: str,
+    names: Sequence[str],
+    key_value: Any = None,
+    broadcast_bytes: int = 64 << 20,
+) -> DataFrame:
+    """:func:`tally` from counts per key (and group, if it is the fact's) made before.
+
+    ``counts`` may hold several rows of a key and group, such as one for each file; ``names`` are its
+    columns to sum.
+    """
+    fact_key, dim_key = (on, on) if isinstance(on, str) else on
+    dim_groups = [] if _has(counts, group) else [group]
+    weights = _Copies(dim, dim_key, dim_groups, key_value, counts.columns)
+    by = dict.fromkeys([fact_key, *([] if dim_groups else [group])])
+    per_key = counts.groupBy(*[column_of(counts, name) for name in by]).agg(
+        *[F.sum(column_of(counts, name)).alias(name) for name in names]
+    )
+    return weights.sums(per_key, fact_key, group, names, weights.fit(key_value, broadcast_bytes))
+
+
+def _has(df: DataFrame, name: str) -> bool:
+    return name.lower() in map(str.lower, df.columns)
+
+
+class _Copies:
+    """How many rows the dimension has for each of its keys and groups."""
+
+    def __init__(self, dim, dim_key, groups, key_value, taken):
+        self.groups = groups
+        self.key = free_name("__key", taken, dim.columns)
+        copies = free_name("__copies", taken, dim.columns)
+        self.number = F.col(copies)
+        used = dim.select(
+            column_of(dim, dim_key).alias(self.key), *[column_of(dim, g).alias(g) for g in groups]
+        ).where(F.col(self.key).isNotNull())
+        if key_value is not None:
+            kind = used.schema[self.key].dataType
+            used = used.where(F.col(self.key) == F.lit(key_value).cast(kind))
+        self.used = used
+        self.table = used.groupBy(*map(quoted, used.columns)).agg(F.count("*").alias(copies))
+
+    def fit(self, key_value: Any, limit: int) -> bool:
+        return (key_value is not None and not self.groups) or fits(self.used, limit)
+
+    def one_row_per_key(self) -> bool:
+        return self.table.groupBy(self.key).count().where(F.col("count") > 1).isEmpty()
+
+    def join(self, rows: DataFrame, fact_key: str, hinted: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        keyed = rows.withColumn(self.key, column_of(rows, fact_key))
+        return keyed.join(hinted(self.table), self.key)
+
+    def sums(
+        self, per_key: DataFrame, fact_key: str, group: str, names: Sequence[str], small: bool
+    ) -> DataFrame:
+        """The counts of each key times its copies, by group."""
+        joined = self.join(per_key, fact_key, F.broadcast if small else lambda d: d.hint("merge"))
+        return joined.groupBy(column_of(joined, group)).agg(
+            *[F.sum(column_of(joined, n) * self.number).alias(n) for n in names]
+        )

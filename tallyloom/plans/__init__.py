@@ -1,3 +1,4 @@
+from tallyloom.plans.incremental import refresh_incremental, tally_landed
 from tallyloom.plans.jobs import MEDALS, load_fact_and_dimension, local_extract, refresh
 from tallyloom.plans.loads import (
     create_schema,
@@ -21,6 +22,8 @@ __all__ = [
     "load_fact_and_dimension",
     "local_extract",
     "refresh",
+    "refresh_incremental",
     "replace_table",
+    "tally_landed",
     "truncate_table",
 ]

@@ -2,10 +2,21 @@ from tallyloom.sources.catalog import name_for_sql, table_columns
 from tallyloom.sources.csv import read_csv
 from tallyloom.sources.files import find_file, list_files, read_files, read_landed, read_landed_csv
 from tallyloom.sources.jdbc import JdbcDatabase, read_jdbc
+from tallyloom.sources.landing import (
+    current_files,
+    landing_manifest,
+    landings,
+    read_landing,
+    read_landing_csv,
+    read_landing_files,
+)
 
 __all__ = [
     "JdbcDatabase",
+    "current_files",
     "find_file",
+    "landing_manifest",
+    "landings",
     "list_files",
     "name_for_sql",
     "read_csv",
@@ -13,5 +24,8 @@ __all__ = [
     "read_jdbc",
     "read_landed",
     "read_landed_csv",
+    "read_landing",
+    "read_landing_csv",
+    "read_landing_files",
     "table_columns",
 ]
