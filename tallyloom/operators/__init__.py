@@ -1,10 +1,17 @@
-from tallyloom.operators.constraints import Constraints, constraint_rules, count_violations
+from tallyloom.operators.constraints import (
+    Constraints,
+    constraint_rules,
+    count_violations,
+    observe_rules,
+    observed_metrics,
+)
 from tallyloom.operators.latest import latest_per_key
 from tallyloom.operators.quality import (
     QualityError,
     first_cell_rule,
     null_rules,
     require,
+    require_observed,
     row_count_rules,
     scalar_rule,
 )
@@ -20,7 +27,10 @@ __all__ = [
     "first_cell_rule",
     "latest_per_key",
     "null_rules",
+    "observe_rules",
+    "observed_metrics",
     "require",
+    "require_observed",
     "row_count_rules",
     "scalar_rule",
     "tally",

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyloom.operators.names import column_of, free_name, quoted
-from tallyloom.operators.quality import as_rules
+from tallyloom.operators.quality import as_rules, require_observed
 
 
 @dataclass(frozen=True)
@@ -50,6 +50,48 @@ def constraint_rules(df: DataFrame, table_name: str, constraints: Constraints) -
     return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
+def observed_metrics(
+    df: DataFrame, constraints: Constraints | None, predicates: Mapping[str, str]
+) -> dict[str, Column]:
+    """Aggregates by rule, for ``DataFrame.observe``: the row count, then counts of violations.
+
+    The rules are ``row_count``, ``null_<column>``, ``long_<column>`` and the names of ``predicates``,
+    whose conditions hold where they are true; a NULL is a violation. The aggregates are called
+    ``m0``, ``m1`` and so on. Keys cannot be observed, since that takes a shuffle.
+    """
+    rules = constraints or Constraints()
+    checks = {f"null_{c}": column_of(df, c).isNull() for c in rules.not_null}
+    checks |= {f"long_{c}": F.length(column_of(df, c)) > n for c, n in rules.max_length.items()}
+    checks |= {name: ~F.coalesce(F.expr(sql), F.lit(False)) for name, sql in predicates.items()}
+    counts = {"row_count": F.count(F.lit(1))}
+    counts |= {name: F.count(F.when(p, 1)) for name, p in checks.items()}
+    return {name: count.alias(f"m{k}") for k, (name, count) in enumerate(counts.items())}
+
+
+def observe_rules(
+    df: DataFrame, table_name: str, constraints: Constraints | None = None,
+    predicates: Mapping[str, str] | None = None, min_rows: int = 0,
+) -> tuple[DataFrame, Callable[[], None]]:
+    """``df`` that counts while something else reads it, and a gate to call afterwards.
+
+    Write or collect the DataFrame once, then call the gate: it raises ``QualityError`` for each
+    broken rule, and no row is read for it. Place it last before the write, since
+    rows that run through a shuffle again after an executor is lost would count again.
+    """
+    metrics = observed_metrics(df, constraints, predicates or {})
+    observation = Observation()
+
+    def gate() -> None:
+        found = observation.get
+        values = [(rule, found.get(f"m{k}", 0)) for k, rule in enumerate(metrics)]
+        require_observed(
+            table_name,
+            [(r, n, n >= min_rows if r == "row_count" else not n) for r, n in values],
+        )
+
+    return df.observe(observation, *metrics.values()), gate
+
+
 def count_violations(df: DataFrame, constraints: Constraints) -> DataFrame:
     """:func:`constraint_rules` as one row, with a column for each rule."""
     names = [f"null_{c}" for c in constraints.not_null]

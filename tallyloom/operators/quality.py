@@ -70,6 +70,16 @@ def require(rules: DataFrame) -> None:
         raise QualityError("data quality check failed: " + "; ".join(lines))
 
 
+def require_observed(table_name: str, checks: Sequence[tuple[str, int, bool]]) -> None:
+    """Raise :class:`QualityError` naming each (rule, actual, passed) that did not pass."""
+    told = {rule: f"rule={rule}, actual={n}" for rule, n, _ in checks} | {
+        "row_count": "".join(f"row_count={n}" for rule, n, _ in checks if rule == "row_count")
+    }
+    failed = [f"table_name={table_name}, {told[rule]}, passed=False" for rule, _, ok in checks if not ok]
+    if failed:
+        raise QualityError("data quality check failed: " + "; ".join(failed))
+
+
 def as_rules(counts: DataFrame, table_name: str, expected: int = 0) -> DataFrame:
     """Turn a one-row DataFrame of counts into one rule row per column."""
     return counts.unpivot([], [quoted(c) for c in counts.columns], "rule", "actual").select(

@@ -1,3 +1,4 @@
+from tallyloom.plans.bulk import load
 from tallyloom.plans.incremental import refresh_incremental, tally_landed
 from tallyloom.plans.jobs import MEDALS, load_fact_and_dimension, local_extract, refresh
 from tallyloom.plans.loads import (
@@ -6,13 +7,15 @@ from tallyloom.plans.loads import (
     create_table_as,
     drop_table,
     insert_into,
-    load,
     replace_table,
     truncate_table,
 )
+from tallyloom.plans.partitions import create_keyed_table, merge_latest, replace_partitions
+from tallyloom.plans.versions import table_version
 
 __all__ = [
     "MEDALS",
+    "create_keyed_table",
     "create_schema",
     "create_table",
     "create_table_as",
@@ -21,9 +24,12 @@ __all__ = [
     "load",
     "load_fact_and_dimension",
     "local_extract",
+    "merge_latest",
     "refresh",
     "refresh_incremental",
+    "replace_partitions",
     "replace_table",
+    "table_version",
     "tally_landed",
     "truncate_table",
 ]

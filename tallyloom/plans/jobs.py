@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.operators import Constraints, tally
-from tallyloom.plans.loads import Rules, create_schema, create_table, load, replace_table
+from tallyloom.plans.bulk import load
+from tallyloom.plans.loads import Rules, create_schema, create_table, replace_table
 from tallyloom.sinks import land_raw, replace_jdbc, write_csv
 from tallyloom.sources import JdbcDatabase, read_csv
 
@@ -49,6 +50,7 @@ def refresh(
     buckets: int = 8,
     min_rows: int = 0,
     rules: Rules = (),
+    predicates: Mapping[str, str] | None = None,
     schema_location: str | None = None,
     database: JdbcDatabase | None = None,
 ) -> DataFrame:
@@ -56,7 +58,7 @@ def refresh(
 
     ``fact_path`` and ``dim_path`` lie in the ``incoming`` folders, whose CSV files
     are all landed under ``raw``. The result replaces the rows of ``table`` only after it passed
-    the constraints and the ``rules`` of ``replace_table``, so a second run, or a failed
+    the constraints, ``rules`` and ``predicates`` of ``replace_table``, so a second run, or a failed
     one, leaves no duplicates. A table of other columns is refused and left as it is.
     With ``database`` the published rows also replace the table of that name there.
     """
@@ -64,7 +66,7 @@ def refresh(
     create_schema(spark, table.rpartition(".")[0] or "default", schema_location)
     create_table(spark, table, columns, key=key, buckets=buckets)
     result = tally(read_csv(spark, fact_path), read_csv(spark, dim_path), **spec)
-    replace_table(result, table, constraints, min_rows, rules=rules)
+    replace_table(result, table, constraints, min_rows, rules=rules, predicates=predicates)
     published = spark.table(table)
     if database is not None:
         replace_jdbc(published, database, table)

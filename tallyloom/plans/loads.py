@@ -1,24 +1,25 @@
-"""Tables: definitions, bulk loads, and the gated replacement of a table's rows."""
+"""Tables: definitions, appends, and the gated replacement of a table's rows."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
-from pyspark.sql import Column, DataFrame, SparkSession
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tallyloom.operators import (
     Constraints,
     constraint_rules,
-    latest_per_key,
+    observed_metrics,
     require,
-    row_count_rules,
+    require_observed,
     scalar_rule,
 )
+from tallyloom.operators.names import quoted
+from tallyloom.plans.versions import check_version, held, table_version
 from tallyloom.sinks.layout import co_locate
-from tallyloom.sources.catalog import table_columns
-from tallyloom.sources.csv import read_csv
+from tallyloom.sources.catalog import table_columns, table_details
 
 Rules = Sequence[tuple[str, object]]
 
@@ -57,16 +58,25 @@ def create_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({listed}) USING parquet{clustered}")
 
 
-def create_table_as(df: DataFrame, table: str) -> None:
-    """Create a table from a DataFrame."""
-    df.write.format("parquet").saveAsTable(table)
+def create_table_as(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+    """Create a table from a DataFrame, partitioned by columns that then come last."""
+    rows = df.hint("rebalance", *map(quoted, partition_by)) if partition_by else df
+    rows.write.format("parquet").partitionBy(*partition_by).saveAsTable(table)
 
 
-def insert_into(df: DataFrame, table: str) -> None:
+def insert_into(
+    df: DataFrame,
+    table: str,
+    clustered: bool = False,
+    observation: Observation | None = None,
+    metrics: Sequence[Column] = (),
+) -> None:
     """Append a DataFrame's rows, matching columns by name; bucketed tables get few files.
 
     The columns must be those of the table, in any order: one that either side lacks
-    is refused before anything is written.
+    is refused before anything is written. A bucketed or partitioned table's rows are shuffled by its
+    key first, unless ``clustered`` says that rows of one key lie together already, as
+    after an aggregate or a window by that key. ``metrics`` are taken into ``observation`` as the rows are written.
     """
     spark = df.sparkSession
     columns = table_columns(spark, table)
@@ -74,10 +84,17 @@ def insert_into(df: DataFrame, table: str) -> None:
     if given != wanted or len(df.columns) != len(columns):
         differ = ", ".join(sorted(given ^ wanted)) or "a column twice"
         raise ValueError(f"the rows and {table} differ in columns: {differ}")
-    rows = df.select(*[F.col(f"`{c}`") for c in columns])
-    keys = [column.name for column in spark.catalog.listColumns(table) if column.isBucket]
-    if len(keys) == 1:
-        rows = co_locate(rows, keys[0], int(_detail(spark, table, "Num Buckets")))
+    rows = df.select(*[F.col(quoted(c)) for c in columns])
+    details = table_details(spark, table)
+    if clustered:
+        pass
+    elif details.partitioned_by:
+        rows = rows.hint("rebalance", *map(quoted, details.partitioned_by))
+    elif len(details.bucketed_by) == 1:
+        rows = co_locate(rows, details.bucketed_by[0], details.buckets)
+    if observation is not None:
+        # After the shuffle, in the stage that writes: each row counts once, whatever is run again.
+        rows = rows.observe(observation, *metrics)
     rows.write.insertInto(table)
 
 
@@ -93,32 +110,48 @@ def replace_table(
     min_rows: int = 0,
     keep_old: bool = False,
     rules: Rules = (),
+    predicates: Mapping[str, str] | None = None,
+    since: str | None = None,
+    clustered: bool = False,
 ) -> None:
     """Replace the rows of ``table`` with those of ``df``, which may read ``table``.
 
     The rows are written beside the table and checked there; a failed check raises
     and leaves the table as it was. ``rules`` are (SQL, expected) pairs, whose SQL
-    names the table to check as ``{table}`` and whose first cell must be as expected. Then the table is pointed at the new files in
+    names the table to check as ``{table}`` and whose first cell must be as expected.
+    ``predicates`` are named SQL conditions that every row must meet; like row count, NULLs and
+    lengths they are counted while the rows are written, so only keys and ``rules`` read
+    the files again. Then the table is pointed at the new files in
     one catalog change, so readers see the old rows or the new ones and no data is
     moved. The old files go afterwards, unless ``keep_old`` leaves them to readers
-    that are still running. Run one writer per table: another job's replacement in
-    the meantime stops this one, but rows that it appends would be lost. A partitioned
-    table is refused, as its partitions carry locations of their own, and so is an
-    external one, whose location is not ours to change.
+    that are still running.
+
+    Rows that another job appends, or a replacement it makes, stop this one instead of being
+    lost: the table's files must be those of ``since``, which ``table_version`` gave before
+    ``df`` was made, or else those at the call. From that check to the catalog change, some milliseconds, a
+    marker holds off other replacements, and what is left open is an append that is published just
+    then by a writer that does not ask for the marker.
+
+    A partitioned table is replaced by :func:`tallyloom.plans.replace_partitions`; it is refused here,
+    as its partitions carry locations of their own, and so is an external one, whose location is not ours to change.
     """
     spark = df.sparkSession
-    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+    details = table_details(spark, table)
+    if details.partitioned_by:
         raise ValueError(f"{table} is partitioned; replace_table needs an unpartitioned table")
-    if _detail(spark, table, "Type") != "MANAGED":
+    if details.kind != "MANAGED":
         raise ValueError(f"{table} is external; replace_table needs a managed table")
-    old = _location(spark, table)
+    old = details.location
+    since = since or table_version(spark, table, old)
     stage, new = _stage(spark, table)
     try:
-        insert_into(df, stage)
-        _gate(spark, stage, table, constraints, min_rows, rules)
-        if _location(spark, table) != old:
-            raise RuntimeError(f"{table} was replaced by another job in the meantime")
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+        checks = _write_observed(df, stage, table, constraints, min_rows, predicates, clustered)
+        _gate(spark, stage, table, constraints, rules, checks)
+        with held(spark, old, table):
+            if _location(spark, table) != old:
+                raise RuntimeError(f"{table} was replaced by another job in the meantime")
+            check_version(spark, table, old, since)
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
     except BaseException:
         # A catalog may report an error for a change it made: never drop live files.
         if _location(spark, table) != new:
@@ -131,117 +164,53 @@ def replace_table(
         _drop_with_files(spark, f"{stage}_old", old, like=table)
 
 
-def load(
-    spark: SparkSession,
-    table: str,
-    paths: str | Sequence[str],
-    mode: str = "append",
-    columns: Sequence[str] | None = None,
-    options: Mapping[str, object] | None = None,
-    header: bool = True,
-    key: Sequence[str] = (),
-    order: Sequence[str | Column] = (),
-    ties: Sequence[str | Column] = (),
-    constraints: Constraints | None = None,
-    min_rows: int = 0,
-    rules: Rules = (),
-) -> None:
-    """Load delimited files into an existing table.
-
-    - ``append`` adds the rows,
-    - ``truncate`` replaces the table's rows with them,
-    - ``keep_latest`` adds them and keeps the latest row per ``key`` by ``order``
-      over the whole table, whose old duplicates collapse too, so that loading a
-      batch again changes nothing.
-
-    Fields go by position to ``columns``, or to all of the table's columns, and
-    unlisted columns are NULL. The first line of each file is skipped while
-    ``header`` is on. ``options`` are reader options; a row that does not fit
-    stops the load. ``constraints``, ``min_rows`` and the ``rules`` of
-    :func:`replace_table` hold for the rows that the call writes: the batch in
-    ``append``, the whole table in the other modes.
-    """
-    if mode not in ("append", "truncate", "keep_latest"):
-        raise ValueError(f"unknown load mode: {mode}")
-    if mode == "keep_latest" and not (key and order):
-        raise ValueError("keep_latest needs a key and an order")
-    batch = _read_batch(spark, table, paths, columns, header, options or {})
-    if mode == "truncate":
-        replace_table(batch, table, constraints, min_rows, rules=rules)
-    elif mode == "keep_latest":
-        rows = latest_per_key(spark.table(table).unionByName(batch), key, order, ties)
-        replace_table(rows, table, constraints, min_rows, rules=rules)
-    elif constraints or min_rows or rules:
-        _append_checked(spark, batch, table, constraints, min_rows, rules)
-    else:
-        insert_into(batch, table)
-
-
-def _read_batch(
-    spark: SparkSession,
+def _write_observed(
+    df: DataFrame,
+    stage: str,
     table: str,
-    paths: str | Sequence[str],
-    columns: Sequence[str] | None,
-    header: bool,
-    options: Mapping[str, object],
-) -> DataFrame:
-    target = spark.table(table).schema
-    by_name = {field.name.lower(): field for field in target}
-    unknown = [c for c in columns or () if c.lower() not in by_name]
-    if unknown:
-        raise ValueError(f"{table} has no column {', '.join(unknown)}")
-    listed = [by_name[c.lower()] for c in columns] if columns else list(target)
-    batch = read_csv(
-        spark, paths, schema=StructType(listed), header=header, strict=True, **options
-    )
-    given = {field.name for field in listed}
-    return batch.select(
-        *[
-            F.col(f.name) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in target
-        ]
-    )
-
-
-def _append_checked(spark, batch, table, constraints, min_rows, rules) -> None:
-    stage, new = _stage(spark, table)
-    try:
-        insert_into(batch, stage)
-        _gate(spark, stage, table, constraints, min_rows, rules)
-        insert_into(spark.table(stage), table)
-    finally:
-        _drop_with_files(spark, stage, new)
-
-
-def _gate(spark, stage, table, constraints, min_rows, rules) -> None:
+    constraints: Constraints | None,
+    min_rows: int,
+    predicates: Mapping[str, str] | None,
+    clustered: bool = False,
+) -> list[tuple[str, int, bool]]:
+    """Write into ``stage``; what was counted on the way, as (rule, actual, passed)."""
+    metrics = observed_metrics(df, constraints, predicates or {})
+    if not min_rows and len(metrics) == 1:
+        insert_into(df, stage, clustered)
+        return []
+    observation = Observation()
+    insert_into(df, stage, clustered, observation, list(metrics.values()))
+    found = observation.get
+    return [
+        (rule, found.get(f"m{k}", 0), found.get(f"m{k}", 0) >= min_rows if k == 0 else not found.get(f"m{k}", 0))
+        for k, rule in enumerate(metrics)
+    ]
+
+
+def _gate(spark, stage, table, constraints, rules, checks) -> None:
     """Check the rows that were written, not the plan that made them."""
-    if min_rows:
-        require(row_count_rules({table: spark.table(stage)}, min_rows))
-    if constraints:
-        require(constraint_rules(spark.table(stage), table, constraints))
+    require_observed(table, checks)
+    if constraints and constraints.key:
+        require(constraint_rules(spark.table(stage), table, Constraints(key=constraints.key)))
     if rules:
         checked = [scalar_rule(spark, table, sql.replace("{table}", stage), e) for sql, e in rules]
         for rule in checked:
             require(rule)
 
 
-def _detail(spark: SparkSession, table: str, name: str) -> str:
-    # The last row of that name: a column may be called the same and comes first.
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    return [row.data_type for row in details if row.col_name == name][-1]
-
-
 def _location(spark: SparkSession, table: str) -> str:
-    return _detail(spark, table, "Location")
-
-
-def _stage(spark: SparkSession, table: str) -> tuple[str, str]:
-    """A table like ``table`` whose files lie in a new folder beside it."""
-    suffix = f"__{uuid.uuid4().hex}"
-    parent = _location(spark, table).rstrip("/").rpartition("/")[0]
-    name = table.rpartition(".")[2]
-    stage = f"{table}{suffix}"
-    spark.sql(f"CREATE TABLE {stage} LIKE {table} LOCATION '{parent}/{name}{suffix}'")
+    return table_details(spark, table).location
+
+
+def _stage(spark: SparkSession, table: str, inside: bool = False) -> tuple[str, str]:
+    """A table like ``table`` whose files lie in a new folder beside it, or in its own."""
+    unique = uuid.uuid4().hex
+    own = _location(spark, table).rstrip("/")
+    folder = f"{own}/staged-{unique}"
+    if not inside:
+        folder = f"{own.rpartition('/')[0]}/{table.rpartition('.')[2]}__{unique}"
+    stage = f"{table}__{unique}"
+    spark.sql(f"CREATE TABLE {stage} LIKE {table} LOCATION '{folder}'")
     return stage, _location(spark, stage)
 
 

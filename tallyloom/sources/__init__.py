@@ -1,4 +1,4 @@
-from tallyloom.sources.catalog import name_for_sql, table_columns
+from tallyloom.sources.catalog import TableDetails, name_for_sql, table_columns, table_details
 from tallyloom.sources.csv import read_csv
 from tallyloom.sources.files import find_file, list_files, read_files, read_landed, read_landed_csv
 from tallyloom.sources.jdbc import JdbcDatabase, read_jdbc
@@ -13,6 +13,7 @@ from tallyloom.sources.landing import (
 
 __all__ = [
     "JdbcDatabase",
+    "TableDetails",
     "current_files",
     "find_file",
     "landing_manifest",
@@ -28,4 +29,5 @@ __all__ = [
     "read_landing_csv",
     "read_landing_files",
     "table_columns",
+    "table_details",
 ]

@@ -1,0 +1,258 @@
+"""Partitioned tables: all or none, only what the batch touches, and no lost appends."""
+
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.operators import Constraints, QualityError, latest_per_key, observe_rules
+from tallyloom.plans import (
+    create_keyed_table,
+    create_table,
+    insert_into,
+    load,
+    loads,
+    merge_latest,
+    partitions,
+    replace_partitions,
+    replace_table,
+    table_version,
+)
+
+COLUMNS = {"k": "INT", "o": "INT", "v": "STRING"}
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def files(tmp_path, table="t"):
+    return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{tmp_path}/tables/{table}/**/part-*", recursive=True)}
+
+
+@pytest.fixture
+def parted(spark, schema):
+    name = f"{schema}.t"
+    spark.sql(f"CREATE TABLE {name} (a INT, p STRING) USING parquet PARTITIONED BY (p)")
+    start = [(1, "x/y"), (2, None), (3, "b=c d%'\\"), (4, "x/y")]
+    insert_into(spark.createDataFrame(start, "a int, p string"), name)
+    return name
+
+
+def test_replaces_the_given_partitions(spark, parted, tmp_path):
+    new = spark.createDataFrame([(7, "x/y"), (8, None), (9, "new é")], "a int, p string")
+    replace_partitions(new, parted)
+    assert rows(spark.table(parted)) == [(3, "b=c d%'\\"), (7, "x/y"), (8, None), (9, "new é")]
+    replace_partitions(spark.table(parted).where("p = 'x/y'").selectExpr("a + 1 AS a", "p"), parted)
+    insert_into(spark.createDataFrame([(70, "x/y")], "a int, p string"), parted)
+    assert rows(spark.table(parted).where("p = 'x/y'")) == [(70, "x/y"), (8, "x/y")]
+    replace_partitions(new.where("a = 9"), parted, whole=True)
+    assert rows(spark.table(parted)) == [(9, "new é")]
+    assert len(files(tmp_path)) == 1
+    replace_partitions(new.limit(0), parted, whole=True)
+    assert rows(spark.table(parted)) == [] and files(tmp_path) == {}
+
+
+def test_a_failed_gate_leaves_every_partition(spark, parted, tmp_path):
+    before, kept = rows(spark.table(parted)), files(tmp_path)
+    new = spark.createDataFrame([(7, "x/y"), (None, "new")], "a int, p string")
+    for gate in (
+        {"constraints": Constraints(not_null=("a",))},
+        {"constraints": Constraints(key=("p",)), "predicates": {"positive": "a > 7"}},
+        {"min_rows": 3},
+        {"rules": [("SELECT max(a) FROM {table}", 8)]},
+    ):
+        with pytest.raises(QualityError):
+            replace_partitions(new, parted, whole=True, **gate)
+        assert rows(spark.table(parted)) == before and files(tmp_path) == kept
+    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {parted.split('.')[0]}").collect() if not r.isTemporary] == ["t"]
+
+
+def test_an_error_while_pointing_takes_all_back(spark, parted, tmp_path, monkeypatch):
+    before, kept = rows(spark.table(parted)), files(tmp_path)
+    new = spark.createDataFrame([(7, "x/y"), (8, None), (9, "b=c d%'\\")], "a int, p string")
+    plain, calls = partitions._point, []
+
+    def fails_at_the_third(*args):
+        calls.append(args)
+        if len(calls) == 3:
+            raise OSError("catalog is away")
+        plain(*args)
+
+    monkeypatch.setattr(partitions, "_point", fails_at_the_third)
+    with pytest.raises(OSError, match="away"):
+        replace_partitions(new, parted)
+    assert rows(spark.table(parted)) == before and files(tmp_path) == kept
+    assert not glob.glob(f"{tmp_path}/tables/t/_replacing")
+
+
+def test_refusals(spark, schema, parted):
+    create_table(spark, f"{schema}.plain", COLUMNS)
+    with pytest.raises(ValueError, match="not partitioned"):
+        replace_partitions(spark.table(f"{schema}.plain"), f"{schema}.plain")
+    with pytest.raises(ValueError, match="create_keyed_table"):
+        merge_latest(spark.table(parted), parted, ["a"])
+    for bad in ({"key": ["nope"]}, {"key": ["k"], "column": "V"}):
+        with pytest.raises(ValueError, match="column"):
+            create_keyed_table(spark, f"{schema}.bad", COLUMNS, **bad)
+
+
+def test_load_truncates_a_partitioned_table(spark, parted, csv_file):
+    load(spark, parted, csv_file("in.csv", "a,p\n5,q\n6,x/y\n"), mode="truncate")
+    assert rows(spark.table(parted)) == [(5, "q"), (6, "x/y")]
+    with pytest.raises(QualityError):
+        load(spark, parted, csv_file("in.csv", "a,p\n,q\n"), mode="truncate", constraints=Constraints(not_null=("a",)))
+    load(spark, parted, csv_file("in.csv", "a,p\n9,q\n5,z\n"), "keep_latest", key=["p"], order=["a"])
+    assert rows(spark.table(parted)) == [(5, "z"), (6, "x/y"), (9, "q")]
+
+
+@pytest.fixture
+def keyed(spark, schema):
+    name = f"{schema}.t"
+    create_keyed_table(spark, name, COLUMNS, ["k"], parts=16)
+    start = spark.range(300).selectExpr("cast(id AS int) k", "0 o", "'old' v", "cast(pmod(xxhash64(cast(id AS int)), 16) AS int) key_part")
+    insert_into(start, name)
+    return name
+
+
+def test_merge_writes_touched_partitions_only(spark, keyed, csv_file, tmp_path, monkeypatch):
+    before, kept = spark.table(keyed).drop("key_part").collect(), files(tmp_path)
+    planned = []
+    plain = partitions.latest_per_key
+    monkeypatch.setattr(partitions, "latest_per_key", lambda df, *a: (planned.append(df), plain(df, *a))[1])
+    path = csv_file("in.csv", "k,o,v\n7,1,new\n7,0,older\n900,1,added\n8,-1,late\n,3,nobody\n")
+    for _ in range(2):
+        load(spark, keyed, path, "keep_latest", order=["o"], constraints=Constraints(key=("k",)))
+        batch = spark.createDataFrame([(7, 1, "new"), (7, 0, "older"), (900, 1, "added"), (8, -1, "late"), (None, 3, "nobody")], "k int, o int, v string")
+        want = latest_per_key(spark.createDataFrame(before).unionByName(batch), ["k"], ["o"])
+        assert rows(spark.table(keyed).drop("key_part")) == rows(want)
+    touched = {r[0] for r in spark.table(keyed).where("k IN (7, 900, 8) OR k IS NULL").select("key_part").collect()}
+    plan = planned[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_part" in plan and f"InMemoryFileIndex({len(touched)} paths)" in plan
+    same = {p for p in kept if int(p.split("key_part=")[1].split("/")[0]) not in touched}
+    now = files(tmp_path)
+    assert 2 < len(touched) < 5 and len(same) >= 12 and all(now[p] == kept[p] for p in same)
+    assert not any("key_part=%d/" % t in p for t in touched for p in set(now) & set(kept))
+
+
+def test_merge_of_nothing_and_of_a_wrong_key(spark, keyed, csv_file, tmp_path):
+    kept = files(tmp_path)
+    load(spark, keyed, csv_file("none.csv", "k,o,v\n"), "keep_latest", order=["o"])
+    assert files(tmp_path) == kept
+    with pytest.raises(ValueError, match="the key of .* is k"):
+        load(spark, keyed, csv_file("none.csv", "k,o,v\n"), "keep_latest", key=["v"], order=["o"])
+    load(spark, keyed, csv_file("in.csv", "k,o,v\n5,5,app\n"))
+    assert spark.table(keyed).where("k = 5").count() == 2
+    load(spark, keyed, csv_file("in.csv", "k,o,v\n1,1,only\n"), mode="truncate")
+    assert rows(spark.table(keyed).drop("key_part")) == [(1, 1, "only")]
+
+
+@pytest.mark.parametrize("kind", ["plain", "keyed"])
+def test_an_append_in_the_meantime_stops_the_job(spark, schema, csv_file, monkeypatch, kind):
+    name = f"{schema}.t"
+    if kind == "plain":
+        create_table(spark, name, COLUMNS)
+    else:
+        create_keyed_table(spark, name, COLUMNS, ["k"], parts=4)
+    path = csv_file("in.csv", "k,o,v\n1,1,a\n2,1,a\n")
+    load(spark, name, path)
+    gate = loads._gate
+
+    def gate_while_rows_are_appended(*args):
+        monkeypatch.setattr(loads, "_gate", gate)
+        load(spark, name, csv_file("more.csv", "k,o,v\n1,9,kept\n"))
+        gate(*args)
+
+    monkeypatch.setattr(loads, "_gate", gate_while_rows_are_appended)
+    with pytest.raises(RuntimeError, match="changed by another job"):
+        load(spark, name, path, "keep_latest", key=["k"], order=["o"])
+    assert (1, 9, "kept") in rows(spark.table(name).select("k", "o", "v"))
+    load(spark, name, path, "keep_latest", key=["k"], order=["o"])  # again: it reads the new rows
+    assert rows(spark.table(name).select("k", "o", "v")) == [(1, 9, "kept"), (2, 1, "a")]
+
+
+def test_an_append_before_the_call_is_seen_by_its_version(spark, schema):
+    name = f"{schema}.t"
+    create_table(spark, name, COLUMNS)
+    version = table_version(spark, name)
+    df = spark.createDataFrame([(1, 1, "a")], list(COLUMNS))
+    insert_into(df, name)
+    with pytest.raises(RuntimeError, match="changed by another job"):
+        replace_table(df, name, since=version)
+    replace_table(df, name, since=table_version(spark, name))
+    assert spark.table(name).count() == 1
+
+
+def test_one_replacement_at_a_time(spark, schema, monkeypatch):
+    name = f"{schema}.t"
+    create_table(spark, name, COLUMNS)
+    df = spark.createDataFrame([(1, 1, "a")], list(COLUMNS))
+    check = loads.check_version
+
+    def check_while_another_replaces(*args):
+        monkeypatch.setattr(loads, "check_version", check)
+        with pytest.raises(RuntimeError, match="being replaced"):
+            replace_table(df, name)
+        check(*args)
+
+    monkeypatch.setattr(loads, "check_version", check_while_another_replaces)
+    replace_table(df, name)
+    assert spark.table(name).count() == 1
+
+
+# --- the gate while writing ----------------------------------------------------
+
+
+def test_observed_rules(spark, tmp_path):
+    df = spark.range(100, numPartitions=7).selectExpr("nullif(id, 5) AS `a.b`", "repeat('x', cast(id AS int)) AS s")
+    rules = Constraints(not_null=("a.b",), max_length={"s": 97})
+    seen, gate = observe_rules(df, "t", rules, {"small": "`a.b` < 90"}, min_rows=101)
+    seen.write.parquet(str(tmp_path / "out"))
+    with pytest.raises(QualityError) as error:
+        gate()
+    for told in ("row_count=100", "rule=null_a.b, actual=1", "rule=long_s, actual=2", "rule=small, actual=11"):
+        assert told in str(error.value)
+    good, gate = observe_rules(df.limit(0), "t", rules, {"small": "`a.b` < 90"})
+    good.collect()
+    gate()
+
+
+def test_written_rows_are_not_scanned_again(spark, schema, monkeypatch):
+    """Only a key sends a scan over the staged files."""
+    name = f"{schema}.t"
+    create_table(spark, name, COLUMNS)
+    df = spark.createDataFrame([(1, 1, "a"), (2, 2, None)], list(COLUMNS))
+    scans = []
+    plain = loads.constraint_rules
+    monkeypatch.setattr(loads, "constraint_rules", lambda *a: (scans.append(a[2]), plain(*a))[1])
+    rules = Constraints(not_null=("k",), max_length={"v": 3})
+    spark.sparkContext.setJobGroup("observed", "observed")
+    try:
+        replace_table(df, name, rules, min_rows=2, predicates={"p": "o > 0"})
+        with_rules = len(spark.sparkContext.statusTracker().getJobIdsForGroup("observed"))
+        spark.sparkContext.setJobGroup("bare", "bare")
+        replace_table(df, name)
+        bare = len(spark.sparkContext.statusTracker().getJobIdsForGroup("bare"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert scans == [] and with_rules == bare
+    replace_table(df, name, Constraints(not_null=("k",), key=("k",)))
+    assert [(s.key, s.not_null) for s in scans] == [(("k",), ())]
+    with pytest.raises(QualityError, match="rule=p, actual=1"):
+        replace_table(df, name, predicates={"p": "v = 'a'"})
+    assert spark.table(name).count() == 2
+
+
+def test_clustered_rows_are_written_with_one_exchange(spark, schema, monkeypatch):
+    name = f"{schema}.t"
+    create_table(spark, name, {"k": "BIGINT", "n": "BIGINT"}, key="k", buckets=8)
+    counts = spark.range(1000).selectExpr("id % 50 AS k").groupBy("k").agg(F.count("*").alias("n"))
+    plans, writer = [], type(counts.write)
+    plain = writer.insertInto
+    monkeypatch.setattr(writer, "insertInto", lambda self, t: (plans.append(self._df._jdf.queryExecution().executedPlan().toString()), plain(self, t)))
+    insert_into(counts, name, clustered=True)
+    assert plans[0].count("Exchange") == 1
+    assert spark.table(name).count() == 50
+    joined = spark.table(name).join(spark.table(name).withColumnRenamed("n", "m").hint("merge"), "k")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
