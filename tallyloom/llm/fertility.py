@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +14,6 @@ from tallyloom.llm.words import (
     blocks,
     prefix_sums,
     range_hash,
-    text_bytes,
     window_hashes,
     word_bounds,
 )
@@ -60,25 +58,45 @@ def script(text: str) -> str:
     return best if found[best] else ""
 
 
-@functools.lru_cache(maxsize=2)
-def known_characters(path: str | None) -> frozenset[str]:
-    """The characters that are pieces of the vocabulary with byte fallback."""
-    import sentencepiece
+class PieceCounts(dict):
+    """Tokens and byte tokens of a text in the vocabulary of pieces with byte fallback.
+
+    No piece reaches over a blank, so a text's tokens are those of its parts between blanks, and
+    each distinct part is split once and kept. The sums are those of the whole text.
+    """
 
-    model = sentencepiece.SentencePieceProcessor(
-        model_file=path or vocabulary_path("piece_bpe_32k.model")
-    )
-    pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    return frozenset(piece for piece in pieces if len(piece) == 1)
+    KEPT = 1 << 19  # parts; then begun anew
+
+    def __init__(self, path: str | None = None):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(
+            model_file=path or vocabulary_path("piece_bpe_32k.model")
+        )
+        pieces = range(self.model.get_piece_size())
+        self.bytes = frozenset(i for i in pieces if self.model.is_byte(i))
+
+    def of(self, text: str) -> tuple[int, int]:
+        """(tokens, byte tokens)."""
+        if not text:
+            return 0, 0
+        parts = text.split(" ")
+        if missing := [part for part in set(parts) if part not in self]:
+            if len(self) + len(missing) > self.KEPT:
+                self.clear()
+                missing = list(set(parts))
+            for part, ids in zip(missing, self.model.encode(missing, num_threads=1), strict=True):
+                # One number for both counts, so that a text is one sum; nothing between blanks is one token.
+                raw = 0 if self.bytes.isdisjoint(ids) else sum(i in self.bytes for i in ids)
+                self[part] = (len(ids) or 1) + (raw << 40)
+        total = sum(map(self.__getitem__, parts))
+        return total & ((1 << 40) - 1), total >> 40
 
 
-def fallback_bytes(text: str, known: frozenset[str]) -> int:
-    """The bytes of the characters that the vocabulary can only write as bytes."""
-    missing = {c for c in set(text) - known if not c.isspace()}
-    if not missing:
-        return 0
-    counts = Counter(text) if len(missing) > 8 else {c: text.count(c) for c in missing}
-    return sum(counts[c] * len(c.encode()) for c in missing)
+@functools.lru_cache(maxsize=2)
+def piece_counts(path: str | None) -> PieceCounts:
+    """One for each Python worker."""
+    return PieceCounts(path)
 
 
 def entropy_share(ids: np.ndarray) -> float:
@@ -150,8 +168,8 @@ def fertility_rules(
     """One row per document with its counts, the vocabularies' measures and the verdict.
 
     Characters per token and the entropy of the tokens come from a byte-level
-    vocabulary. The share of byte fallback is that of the text's bytes whose character
-    is no piece of a vocabulary of pieces, which has to write it byte by byte. A document that passes
+    vocabulary. The share of byte fallback is that of the tokens of a vocabulary of pieces
+    that stand for a single byte, line feeds among them. A document that passes
     the word and repetition rules is kept if all three lie in the band of its
     language; where the language is NULL or has no band, in that of its script.
 
@@ -163,7 +181,7 @@ def fertility_rules(
     chosen = BANDS if bands is None else bands
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, known = encoder(*tokenizer), known_characters(fallback_model)
+        encode, split = encoder(*tokenizer), piece_counts(fallback_model)
         names = [part.split()[0] for part in SCHEMA.split(", ")]
         for batch in batches:
             counts = [[], [], [], [], [], []]
@@ -172,16 +190,15 @@ def fertility_rules(
                     column.append(values)
             counts = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in counts]
             n_words, _, _, _, repeats, chars = counts
-            bytes_ = np.diff(text_bytes(batch.column(1))[1])
             failed = (n_words < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * n_words)
             measures, kept, used = [], [], []
             langs = batch.column(2).to_pylist() if lang_col else [None] * len(chars)
             for r, text in enumerate(batch.column(1)):
                 text = text.as_py() or ""
                 ids = np.array(encode(text), np.int64)
-                raw, size = fallback_bytes(text, known), int(bytes_[r])
+                tokens, raw = split.of(text)
                 per_token = float(chars[r]) / max(1, len(ids))
-                fallback, entropy = raw / max(1, size), entropy_share(ids)
+                fallback, entropy = raw / max(1, tokens), entropy_share(ids)
                 band = langs[r] if langs[r] in chosen else script(text)
                 low, high, most, least, top = chosen.get(band, chosen[""])
                 fits = low <= per_token <= high and fallback <= most and least <= entropy <= top

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from tallyloom.llm.fertility import BANDS, entropy_share, fallback_bytes, fertility_rules, known_characters, script
+from tallyloom.llm.fertility import BANDS, PieceCounts, entropy_share, fertility_rules, script
 from tallyloom.llm.fm_classifier import STATISTICS, WORD_BUCKETS, Model, Rows, fit, fold, keep_good, score
 from tallyloom.llm.queries import op3_fertility_rules, op5_factorisation_quality
 
@@ -77,14 +77,24 @@ def test_base_counts(documents):
     assert fertility_rules(documents([(1, "a"), (1, "a")]), lang_col=None).count() == 2
 
 
-def test_measures():
-    known = known_characters(None)
-    assert fallback_bytes("plain é text\n", known) == 0
-    rare = "\U00010380\U00010381"
-    assert fallback_bytes(f"a {rare}", known) == 8
-    assert entropy_share(np.array([1])) == 1.0 and entropy_share(np.array([1] * 9)) == 0.0
-    assert [script(t) for t in ("abc", "привет", "漢字", "12 !")] == ["latin", "cyrillic", "cjk", ""]
-    assert all(low < high for low, high, *_ in BANDS.values())
+def test_byte_fallback_is_that_of_the_whole_text(llm, monkeypatch):
+    counts = PieceCounts()
+    rng = np.random.default_rng(3)
+    signs = [*"ab é\n  \t\r", "\u3000", "\U0001f600", "\U00012000", "word", "<0x0A>", "▁"]
+    texts = ["".join(rng.choice(signs, size=rng.integers(0, 40))) for _ in range(3_000)]
+    texts += ["", " ", "\n", "x" * 500, " a  b ", "a\n\nb"]
+    rows = llm.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    texts += [r["text"] for r in rows]
+    monkeypatch.setattr(PieceCounts, "KEPT", 5_000)  # begun anew now and then
+    shares = 0
+    for text in texts:
+        ids = counts.model.encode(text)
+        raw = [i for i in ids if counts.model.is_byte(i)]
+        assert counts.of(text) == (len(ids), len(raw))
+        shares += bool(raw)
+    assert shares > 1_500
+    measured = fertility_rules(llm.createDataFrame(rows)).where("fallback_share > 0").count()
+    assert measured == sum("\n" in r["text"] or counts.of(r["text"])[1] > 0 for r in rows) > 900
 
 
 def test_rules_on_the_table(llm):
