@@ -18,8 +18,10 @@ from tallyloom.llm.tokens import document_ids, encoder
 LENGTH = 1024
 GRAIN = 64  # a document's rest is cut once more, at a multiple of this
 SALTS = 64  # parts in which the documents of one length are ranked
-TOLERANCE = 1e-3  # of the padded length above its lower bound
-MAX_COLUMNS = 600  # of the linear program that are generated at most
+TOLERANCE = 1e-5  # of the padded length above its lower bound
+MANY = 256  # sizes from which on single ones are too far from any good packing to start with
+PATIENCE = 200  # columns in which the padded length must come down by ...
+PROGRESS = 1e-3  # ... this share of the sum of lengths
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -118,23 +120,33 @@ def solve(sizes: np.ndarray, demand: np.ndarray, length: int) -> tuple[np.ndarra
     """Patterns (one row each, counts per size) and how often each is used, not rounded.
 
     The linear program chooses patterns so that each size is met exactly and the
-    padded length is least. It starts from :func:`first_basis` and is carried on by a
+    padded length is least. It starts from patterns of one size each, as many as
+    fit, or with more than :data:`MANY` sizes from :func:`first_basis`, and is carried on by a
     revised simplex method; the knapsack over the prices of the sizes gives the
     column that enters, for full sequences and for each power of two. It ends when no
     column improves, when the padded length is within :data:`TOLERANCE` of the sum of
-    all lengths, which no packing undercuts, or after :data:`MAX_COLUMNS` columns;
-    any end is a valid solution. Its size depends on ``length`` alone.
+    all lengths, which no packing undercuts, or when it comes down too slowly (:data:`PATIENCE`); any
+    end is a valid solution. Its size depends on ``length`` alone.
     """
     m = len(sizes)
     knapsack = _Knapsack(sizes, length)
     powers = [1 << k for k in range(length.bit_length()) if 1 << k < length]
-    basis, used = first_basis(sizes, demand, length)
+    if m > MANY:
+        basis, used = first_basis(sizes, demand, length)
+    else:
+        copies = length // sizes
+        basis, used = np.diag(copies.astype(float)), demand / copies
     inverse = np.linalg.inv(basis)
     cost = np.array([padded(int(t), length) for t in sizes @ basis.astype(np.int64)], float)
     floor = float(sizes @ demand)
-    for step in range(MAX_COLUMNS):
+    before = np.inf
+    for step in itertools.count():
         if cost @ used <= floor * (1 + TOLERANCE):
             break
+        if step % PATIENCE == 0:
+            if before - cost @ used <= floor * PROGRESS:
+                break
+            before = cost @ used
         prices = cost @ inverse
         best, last = knapsack.solve(prices)
         options = [(best[p] / p, p, float(p)) for p in powers]

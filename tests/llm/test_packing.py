@@ -119,6 +119,39 @@ def test_repeated_rows_are_packed_again(documents):
         assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 3
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_program_ends_at_the_optimum(monkeypatch, seed):
+    """With the last prices no pattern at all is worth more than it costs."""
+    monkeypatch.setattr(cutting_stock, "TOLERANCE", 0.0)
+    rng = np.random.default_rng(seed)
+    length = int(rng.choice([8, 16, 20]))
+    sizes = np.sort(rng.choice(np.arange(1, length), size=int(rng.integers(1, 6)), replace=False))
+    demand = rng.integers(1, 60, len(sizes)).astype(float)
+    patterns, used = cutting_stock.solve(sizes, demand, length)
+    assert np.allclose(patterns.T @ used, demand) and (used >= 0).all()
+    every = [()]
+    for size in sizes:
+        every = [(*p, k) for p in every for k in range(length // size + 1)]
+    every = [p for p in every if 0 < np.dot(p, sizes) <= length]
+    cost = np.array([cutting_stock.padded(int(s), length) for s in np.rint(patterns @ sizes)])
+    if cost @ used <= sizes @ demand * (1 + 1e-9):
+        return  # nothing is padded
+    prices = np.linalg.solve(patterns, cost)
+    assert all(np.dot(p, prices) <= cutting_stock.padded(int(np.dot(p, sizes)), length) + 1e-6 for p in every)
+
+
+def test_prices_make_the_patterns_of_the_table(llm, monkeypatch):
+    docs = llm.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = cutting_stock.pieces(docs).groupBy("length").count().orderBy("length").collect()
+    calls, plain = [], cutting_stock._Knapsack.solve
+    monkeypatch.setattr(cutting_stock._Knapsack, "solve", lambda self, p: (calls.append(p), plain(self, p))[1])
+    lengths, counts = np.array([r["length"] for r in rows]), np.array([r["count"] for r in rows])
+    plan = cutting_stock.plan(lengths, counts, 1024)
+    assert len(calls) > 50
+    held = sum(cutting_stock.padded(sum(s * n for s, n in p.items()), 1024) * times for p, times in plan)
+    assert held <= 1.01 * (lengths * counts).sum() + 1024
+
+
 def test_plan_holds_each_piece_once():
     rng = np.random.default_rng(4)
     for lengths in (np.arange(1, 1025), np.array([7, 500, 513, 1024]), np.array([3])):

@@ -97,6 +97,13 @@ def test_byte_fallback_is_that_of_the_whole_text(llm, monkeypatch):
     assert measured == sum("\n" in r["text"] or counts.of(r["text"])[1] > 0 for r in rows) > 900
 
 
+def test_measures():
+    assert entropy_share(np.array([1])) == 1.0 and entropy_share(np.array([1] * 9)) == 0.0
+    assert [script(t) for t in ("abc", "привет", "漢字", "12 !")] == ["latin", "cyrillic", "cjk", ""]
+    assert all(low < high for low, high, *_ in BANDS.values())
+    assert PieceCounts().of("a \U00010380\U00010381") == (10, 8)  # a, a blank, four bytes each
+
+
 def test_rules_on_the_table(llm):
     sf_dir = "/root/testdata/sf0.01"
     texts = {r[0]: r[1] for r in llm.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
