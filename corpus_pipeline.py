@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.cutting_stock import pack_cutting_stock
 from tallyloom.llm.fm_classifier import fit, keep_good
-from tallyloom.llm.line_chunks import dedup_lines
+from tallyloom.llm.line_chunks import dedup_line_runs
 from tallyloom.llm.ngram_trie import keep_one_of_each
 from tallyloom.llm.spaced_seeds import decontaminate
 from tallyloom.llm.store import materialize, reach_workers
@@ -25,9 +25,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without chunks of lines that stand earlier; emptied ones go."""
+    """Documents without runs of two or more worded lines that stand earlier; emptied ones go."""
     reach_workers(spark)
-    kept = dedup_lines(docs).where("n_removed_lines = 0 or trim(text) <> ''")
+    kept = dedup_line_runs(docs).where("n_removed_lines = 0 or trim(text) <> ''")
     return kept.selectExpr(
         "doc_id",
         "text",
