@@ -23,7 +23,6 @@ REPEAT_WINDOW = 8
 MAX_REPEAT_PERCENT = 30
 SYMBOLS = b"#*$%&|<>"
 ENTROPY_IDS = 512
-BLANK = "▁"
 
 #: Fixed values: (least, most) characters per token, most share of byte fallback, and
 #: (least, most) entropy of the tokens as a share of its largest value, by language;
@@ -59,14 +58,8 @@ def script(text: str) -> str:
     return best if found[best] else ""
 
 
-class PieceCounts(dict):
-    """Tokens and byte tokens of a text in the vocabulary of pieces with byte fallback.
-
-    No piece reaches over a single blank, so a text's tokens are those of its parts between blanks, and
-    each distinct part is split once and kept. Other texts are split whole.
-    """
-
-    KEPT = 1 << 19  # parts; then begun anew
+class PieceCounts:
+    """Tokens and byte tokens of a text in the vocabulary of pieces with byte fallback."""
 
     def __init__(self, path: str | None = None):
         import sentencepiece
@@ -74,28 +67,16 @@ class PieceCounts(dict):
         self.model = sentencepiece.SentencePieceProcessor(
             model_file=path or vocabulary_path("piece_bpe_32k.model")
         )
-        pieces = range(self.model.get_piece_size())
-        self.bytes = frozenset(i for i in pieces if self.model.is_byte(i))
+        pieces = (self.model.id_to_piece(i) for i in range(self.model.get_piece_size()))
+        # A blank is written as a sign that is a piece.
+        self.known = frozenset([" ", *(piece for piece in pieces if len(piece) == 1)])
 
     def of(self, text: str) -> tuple[int, int]:
-        """(tokens, byte tokens)."""
+        """(tokens, byte tokens); a character that is no piece is a token for each of its bytes."""
         if not text:
             return 0, 0
-        # Runs of blanks can be pieces of their own, and a sign is what a blank is written as.
-        if BLANK in text or "  " in text or text[0] == " " or text[-1] == " ":
-            ids = self.model.encode(text, num_threads=1)
-            return len(ids), sum(i in self.bytes for i in ids)
-        parts = text.split(" ")
-        if missing := [part for part in set(parts) if part not in self]:
-            if len(self) + len(missing) > self.KEPT:
-                self.clear()
-                missing = list(set(parts))
-            for part, ids in zip(missing, self.model.encode(missing, num_threads=1), strict=True):
-                # One number for both counts, so that a text is one sum.
-                raw = 0 if self.bytes.isdisjoint(ids) else sum(i in self.bytes for i in ids)
-                self[part] = len(ids) + (raw << 40)
-        total = sum(map(self.__getitem__, parts))
-        return total & ((1 << 40) - 1), total >> 40
+        raw = sum(text.count(c) * len(c.encode()) for c in set(text) - self.known)
+        return len(self.model.encode(text, num_threads=1)), raw
 
 
 @functools.lru_cache(maxsize=2)

@@ -77,7 +77,7 @@ def test_base_counts(documents):
     assert fertility_rules(documents([(1, "a"), (1, "a")]), lang_col=None).count() == 2
 
 
-def test_byte_fallback_is_that_of_the_whole_text(llm, monkeypatch):
+def test_byte_fallback_is_that_of_the_whole_text(llm):
     counts = PieceCounts()
     rng = np.random.default_rng(3)
     signs = [*"ab é\n  \t\r", "\u3000", "\U0001f600", "\U00012000", "word", "<0x0A>", "▁"]
@@ -85,7 +85,6 @@ def test_byte_fallback_is_that_of_the_whole_text(llm, monkeypatch):
     texts += ["", " ", "\n", "x" * 500, " a  b ", "a\n\nb"]
     rows = llm.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
     texts += [r["text"] for r in rows]
-    monkeypatch.setattr(PieceCounts, "KEPT", 5_000)  # begun anew now and then
     shares = 0
     for text in texts:
         ids = counts.model.encode(text)
