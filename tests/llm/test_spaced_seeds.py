@@ -65,6 +65,28 @@ def test_substitutions_punctuation_and_case(llm, documents):
         assert {r["doc_id"] for r in clean.collect()} == {i for i in got if not got[i]}
 
 
+def test_no_item_shorter_than_the_window_is_missed(llm, documents):
+    """Every substitution that the check admits, against all alignments of all items."""
+    rng = random.Random(5)
+    own = [[f"i{n}x{k}" for k in range(n)] for n in range(1, 20)]
+    texts = []
+    for item in own:
+        for _ in range(20):
+            part = list(item)
+            for k in rng.sample(range(len(item)), min(len(item), rng.randrange(len(item) // 5 + 2))):
+                part[k] = "other"
+            texts.append(" ".join(["before"] * rng.randrange(4) + part + ["after"] * rng.randrange(4)))
+    bench = items(llm, [(k, " ".join(w)) for k, w in enumerate(own)])
+    want = {i: [k for k, w in enumerate(own) if contained(words(t), w)] for i, t in enumerate(texts)}
+    assert sum(map(len, want.values())) > len(own)
+    assert found(contamination(documents(texts), bench)) == want
+    narrow = {
+        i: [k for k, w in enumerate(own) if contained(words(t), w, 0.7, 6)] for i, t in enumerate(texts)
+    }
+    got = found(contamination(documents(texts), bench, window=6, min_share=0.7, masks=("1" * 30,)))
+    assert got == narrow
+
+
 def test_empty_tables_and_repeated_rows(llm, documents):
     bench = items(llm, [(1, "a b c d e f g h i j k l m"), (1, "a b c d e f g h i j k l m")])
     docs = documents([(3, "x a b c d e f g h i j k l m"), (3, "x a b c d e f g h i j k l m"), (None, "y")])
