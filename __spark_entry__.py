@@ -51,6 +51,7 @@ from tallyloom.session import scratch_dir  # noqa: E402
 from tallyloom.sinks import land_exact, land_raw, write_csv  # noqa: E402
 from tallyloom.sources import (  # noqa: E402
     find_file,
+    infer_schema,
     list_files,
     name_for_sql,
     read_csv,
@@ -175,6 +176,18 @@ def tally_large_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tally(fact, dim, **FLAGS, broadcast_bytes=0)
 
 
+def tally_selective_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shuffled way, for a dimension with a fifth of the fact's keys."""
+    fact = _read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("noc"),
+        F.col("l_linenumber").alias("sport"),
+        F.col("l_returnflag").alias("medal"),
+    )
+    orders = _read(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    dim = orders.select(F.col("o_orderkey").alias("noc"))
+    return tally(fact, dim, **FLAGS, broadcast_bytes=0, prefilter=True)
+
+
 def _hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of which a third have one user."""
     return _read(spark, sf_dir, "events").select(
@@ -397,6 +410,28 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
+def csv_scan_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that disagree: whole and broken numbers, numbers and names, days and times."""
+    events = _read(spark, sf_dir, "events")
+    day = F.date_trunc("day", F.col("ts").cast("timestamp_ntz"))
+    whole = events.where("event_id % 2 = 0").select(
+        "event_id",
+        "user_id",
+        F.floor("value").cast("bigint").alias("amount"),
+        F.date_format(day, "yyyy-MM-dd").alias("day"),
+        F.date_format(day, "yyyy-MM-dd").alias("at"),
+    )
+    broken = events.where("event_id % 2 = 1").select(
+        "event_id",
+        F.concat(F.lit("u"), "user_id").alias("user_id"),
+        F.col("value").alias("amount"),
+        F.date_format(day, "yyyy-MM-dd").alias("day"),
+        F.date_format(day, "yyyy-MM-dd HH:mm:ss").alias("at"),
+    )
+    paths = [_export(whole, "whole"), _export(broken, "broken")]
+    return read_csv(spark, paths, schema=infer_schema(spark, paths))
+
+
 def csv_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = tally(_fact(spark, sf_dir), _dim(spark, sf_dir), **FLAGS)
     return read_csv(spark, _export(result, "tally", single_file=True), schema=result.schema)
@@ -656,6 +691,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tally_null_outcome": tally_null_outcome,
         "tally_duplicate_dim": tally_duplicate_dim,
         "tally_large_dim": tally_large_dim,
+        "tally_selective_dim": tally_selective_dim,
         "tally_hot_key": tally_hot_key,
         "tally_hot_key_dim_group": tally_hot_key_dim_group,
         "tally_null_group": tally_null_group,
@@ -673,6 +709,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bucketed_join": bucketed_join,
         "csv_scan_string": csv_scan_string,
         "csv_scan_inferred": csv_scan_inferred,
+        "csv_scan_widened": csv_scan_widened,
         "csv_single_file": csv_single_file,
         "raw_landing": raw_landing,
         "landed_csv": landed_csv,
@@ -750,6 +787,10 @@ def core_oracle_sql() -> dict[str, str]:
         "tally_large_dim": f"""
             select l.l_linenumber as sport, {_TALLY_COUNTS}
             from lineitem l join orders o on o.o_orderkey = l.l_orderkey group by 1""",
+        "tally_selective_dim": f"""
+            select l.l_linenumber as sport, {_TALLY_COUNTS}
+            from lineitem l join orders o on o.o_orderkey = l.l_orderkey
+            where o.o_orderpriority = '1-URGENT' group by 1""",
         "tally_hot_key": """
             select length(e.props) as sport,
                 count(case when e.event_type = 'purchase' then 1 end) as gold,
@@ -801,6 +842,10 @@ def core_oracle_sql() -> dict[str, str]:
             select cast(event_id as varchar) as event_id, cast(user_id as varchar) as user_id,
                 event_type, props from events""",
         "csv_scan_inferred": "select c_custkey, c_name, c_nationkey, c_acctbal from customer",
+        "csv_scan_widened": """
+            select event_id, case when event_id % 2 = 1 then 'u' else '' end || user_id as user_id,
+                case when event_id % 2 = 0 then floor(value) else value end as amount,
+                cast(ts as date) as day, date_trunc('day', ts)::timestamp as at from events""",
         "csv_single_file": _TALLY_WHOLE,
         "raw_landing": """
             select concat_ws(',', c_custkey, c_name, c_nationkey,

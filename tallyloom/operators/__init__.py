@@ -6,6 +6,7 @@ from tallyloom.operators.constraints import (
     observed_metrics,
 )
 from tallyloom.operators.latest import latest_per_key
+from tallyloom.operators.prefilter import KeyFilter
 from tallyloom.operators.quality import (
     QualityError,
     first_cell_rule,
@@ -19,6 +20,7 @@ from tallyloom.operators.tally import count_outcomes, count_per_key, tally, tall
 
 __all__ = [
     "Constraints",
+    "KeyFilter",
     "QualityError",
     "constraint_rules",
     "count_outcomes",

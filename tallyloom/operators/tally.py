@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.names import column_of, free_name, quoted
+from tallyloom.operators.prefilter import KeyFilter
 from tallyloom.operators.size import fits
 
 
@@ -58,6 +59,7 @@ def tally(
     total: str = "total",
     key_value: Any = None,
     broadcast_bytes: int = 64 << 20,
+    prefilter: bool = False,
 ) -> DataFrame:
     """:func:`count_outcomes` over the inner join of ``fact`` to ``dim``.
 
@@ -74,6 +76,10 @@ def tally(
     combined before its shuffle, and the counts meet the dimension in a sort-merge
     join: a hot key sends one row per task and group. Keys of different types are
     compared as Spark compares them in a join, so both ways count the same.
+
+    ``prefilter`` is for a large dimension that has few of the fact's keys: a Bloom filter
+    of its keys (:class:`KeyFilter`, one more job to size it) drops most other rows of the
+    fact before they are counted and shuffled. It changes no result.
     """
     fact_key, dim_key = (on, on) if isinstance(on, str) else on
     predicates = _predicates(fact, outcome, outcomes, not_value, total)
@@ -81,8 +87,9 @@ def tally(
     weights = _Copies(dim, dim_key, dim_groups, key_value, [*fact.columns, *predicates])
     fits_all = weights.fit(key_value, broadcast_bytes)
     if not (fits_all and (not dim_groups or weights.one_row_per_key())):
+        kept = KeyFilter(weights.used, weights.key).keep(fact, fact_key) if prefilter else fact
         per_key = count_per_key(
-            fact, [fact_key, *([] if dim_groups else [group])], outcome, outcomes, not_value, total
+            kept, [fact_key, *([] if dim_groups else [group])], outcome, outcomes, not_value, total
         )
         return weights.sums(per_key, fact_key, group, list(predicates), fits_all)
     names = dict.fromkeys([fact_key, outcome, *([] if dim_groups else [group])])

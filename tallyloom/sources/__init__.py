@@ -10,16 +10,19 @@ from tallyloom.sources.landing import (
     read_landing_csv,
     read_landing_files,
 )
+from tallyloom.sources.types import infer_schema, narrowest_types
 
 __all__ = [
     "JdbcDatabase",
     "TableDetails",
     "current_files",
     "find_file",
+    "infer_schema",
     "landing_manifest",
     "landings",
     "list_files",
     "name_for_sql",
+    "narrowest_types",
     "read_csv",
     "read_files",
     "read_jdbc",
