@@ -18,7 +18,7 @@ KINDS = ("assign", "access", "hex", "random")
 MIN_ASSIGN = 12
 
 FALSE_DISCOVERY = 0.01  # share of ordinary tokens among those reported, per stratum
-REJECT_RANDOM = 0.001  # p-value under which the battery says that a token is not random
+FALSE_REJECTION = 0.01  # share of random tokens among those the battery rejects, per stratum
 BANDS = (20, 28, 36, 48, 64, 96, 160)  # least lengths of the length strata
 BINS_PER_DECADE, MAX_BIN = 4, 400  # of the p-values that are counted
 
@@ -63,12 +63,14 @@ ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
 
 
-def _ordinary_weights() -> dict[str, float]:
-    """The natural logarithm of each character's share in ordinary words and numbers."""
+def _ordinary_weights() -> list[dict[str, float]]:
+    """The natural logarithm of each character's share in words, words in capitals, and numbers."""
     share = {c: 0.86 * f / 1003 for c, f in _FREQUENCY.items()}
     share |= {c.upper(): 0.06 * f / 1003 for c, f in _FREQUENCY.items()}
     share |= dict.fromkeys(_DIGITS, 0.05 / 10) | dict.fromkeys("+/-_", 0.03 / 4)
-    return {c: math.log(p) for c, p in share.items()}
+    numbers = dict.fromkeys(share, 0.1 / 56) | dict.fromkeys(_DIGITS, 0.9 / 10)
+    capitals = {c.swapcase(): p for c, p in share.items()}
+    return [{c: math.log(p) for c, p in s.items()} for s in (share, capitals, numbers)]
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -223,38 +225,47 @@ def _battery(token: Column, size: Column, alphabet: Column) -> Column:
 
 
 def _candidates(matches: Column) -> Column:
-    """Structs (start, end, stratum, bin) of the tokens that pass the battery.
+    """Structs (start, end, stratum, bin, battery) of the tokens.
 
-    The bin is that of the token's p-value as an ordinary word or number: by Markov's
+    ``bin`` is that of the token's p-value as an ordinary word or number: by Markov's
     inequality, one over the ratio of its likelihood as random characters of its
-    encoding to its likelihood as ordinary ones bounds it.
+    encoding to its likelihood as ordinary ones bounds it. Of the ordinary kinds (words,
+    words in capitals, numbers) the likeliest counts, so the bound holds for each.
+    ``battery`` is the bin of its p-value as random characters.
     """
-    weights = F.create_map(*[F.lit(x) for pair in _ordinary_weights().items() for x in pair])
+    kinds = [
+        F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
+        for weights in _ordinary_weights()
+    ]
     encoding = lambda t: F.coalesce(
         *[F.when(t.rlike(pattern), F.lit(i)) for i, (_, pattern, _) in enumerate(ENCODINGS)]
     )
     alphabets = F.array(*[F.lit(a) for _, _, a in ENCODINGS])
 
+    def likelihood(token: Column, weights: Column) -> Column:
+        chars = F.filter(F.split(token, ""), lambda c: c != "")
+        return F.aggregate(chars, F.lit(0.0), lambda a, c: a + F.element_at(weights, c))
+
+    def bin_of(evidence: Column) -> Column:
+        evidence = F.greatest(evidence, F.lit(0.0)) * BINS_PER_DECADE
+        return F.floor(F.least(evidence, F.lit(float(MAX_BIN)))).cast("int")
+
     def judged(m: Column) -> Column:
         token, n = m["value"], F.length(m["value"])
-        ordinary = F.aggregate(
-            F.filter(F.split(token, ""), lambda c: c != ""),
-            F.lit(0.0),
-            lambda a, c: a + F.element_at(weights, c),
-        )
+        ordinary = F.greatest(*[likelihood(token, weights) for weights in kinds])
 
         def of(e: Column) -> Column:
             alphabet = F.get(alphabets, e)
             size = F.length(alphabet).cast("double")
             evidence = (-n * F.log(size) - ordinary) / math.log(10)
+            tests = F.greatest(_battery(token, size, alphabet), F.lit(1e-300))
             band = sum((F.when(n >= b, 1).otherwise(0) for b in BANDS), F.lit(0)) - 1
-            bin_ = F.floor(F.least(F.greatest(evidence, F.lit(0.0)) * BINS_PER_DECADE, F.lit(float(MAX_BIN))))
             return F.struct(
                 m["start"].alias("start"),
                 m["end"].alias("end"),
                 (e * len(BANDS) + band).cast("int").alias("stratum"),
-                bin_.cast("int").alias("bin"),
-                (_battery(token, size, alphabet) >= REJECT_RANDOM).alias("random"),
+                bin_of(evidence).alias("bin"),
+                bin_of(-F.log10(tests)).alias("battery"),
             )
 
         return _let(encoding(token), of)
@@ -262,8 +273,8 @@ def _candidates(matches: Column) -> Column:
     return F.transform(matches, judged)
 
 
-def _thresholds(tokens: DataFrame) -> dict[int, int]:
-    """For each stratum the least bin that Benjamini and Hochberg's procedure reports.
+def _thresholds(tokens: DataFrame, share: float) -> dict[int, int]:
+    """For each stratum the least bin that Benjamini and Hochberg's procedure rejects.
 
     Strata are encodings by lengths, so short tokens, whose p-values cannot be small,
     are weighed against short ones only. The counts are of all tokens of the corpus;
@@ -274,7 +285,7 @@ def _thresholds(tokens: DataFrame) -> dict[int, int]:
     up = counted.alias("a").join(counted.alias("b"), (F.col("a.stratum") == F.col("b.stratum")) & (F.col("b.bin") >= F.col("a.bin")))
     above = up.groupBy(F.col("a.stratum").alias("stratum"), F.col("a.bin").alias("bin")).agg(F.sum("b.count").alias("k"))
     passing = above.join(totals, "stratum").where(
-        F.pow(F.lit(10.0), -F.col("bin") / BINS_PER_DECADE) <= FALSE_DISCOVERY * F.col("k") / F.col("m")
+        F.pow(F.lit(10.0), -F.col("bin") / BINS_PER_DECADE) <= share * F.col("k") / F.col("m")
     )
     return {r["stratum"]: r["bin"] for r in passing.groupBy("stratum").agg(F.min("bin").alias("bin")).collect()}
 
@@ -284,9 +295,11 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Base kinds are patterns: assignments to a telling name, access keys, and long
     hexadecimal numbers. Kind ``random`` is any token of 20 or more characters that
-    looks random: no test of the battery rejects that it is (chi-squared, runs,
-    serial correlation, each over the alphabet of the token's encoding), and it is no
-    ordinary word at a false discovery rate held per encoding and length.
+    looks random, by two procedures of Benjamini and Hochberg in each stratum of encoding
+    and length: it is among those that are no ordinary word or number
+    (:data:`FALSE_DISCOVERY`), and not among those that the battery says are not random
+    (:data:`FALSE_REJECTION`): chi-squared, runs and serial correlation, each over the
+    alphabet of the token's encoding.
 
     The scan reads the texts once, without a shuffle, and writes only spans; counts of
     p-values give the limits; a second pass over the spans applies them. Work is
@@ -311,12 +324,18 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         ),
         "secrets",
     )
-    limits = _thresholds(scanned.select(F.explode("tokens").alias("t")).select("t.stratum", "t.bin"))
-    never = MAX_BIN + 1
-    n_strata = len(ENCODINGS) * len(BANDS)
-    limit = F.array(*[F.lit(limits.get(s, never)) for s in range(n_strata)])
+    tokens = scanned.select(F.explode("tokens").alias("t"))
+
+    def limit(name: str, share: float) -> Column:
+        limits = _thresholds(tokens.select("t.stratum", F.col(f"t.{name}").alias("bin")), share)
+        strata = range(len(ENCODINGS) * len(BANDS))
+        return F.array(*[F.lit(limits.get(s, MAX_BIN + 1)) for s in strata])
+
+    ordinary, not_random = limit("bin", FALSE_DISCOVERY), limit("battery", FALSE_REJECTION)
     chosen = F.filter(
-        F.col("tokens"), lambda t: t["random"] & (t["bin"] >= F.get(limit, t["stratum"]))
+        "tokens",
+        lambda t: (t["bin"] >= F.get(ordinary, t["stratum"]))
+        & (t["battery"] < F.get(not_random, t["stratum"])),
     )
     names = F.array(*[F.lit(k) for k in KINDS])
     joined = lambda spans: F.array_join(

@@ -1,9 +1,11 @@
 """The secret scan against Python's patterns, and the battery on planted tokens."""
 
 import hashlib
+import math
 import random
 import re
 
+from tallyloom.llm import secrets
 from tallyloom.llm.queries import op1_secret_battery
 from tallyloom.llm.secrets import find_secrets
 
@@ -64,6 +66,123 @@ def test_random_tokens_stand_out_from_words(documents):
     assert got[0]["spans"] == f"random:4:{4 + 44}"
 
 
+ALPHABETS = (
+    "0123456789abcdef",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+)
+WORDS = (
+    "internal request handler configuration manager session customer report invoice local python "
+    "library package server account default window message thread buffer collection address update"
+).split()
+
+
+def identifiers(rng, n):
+    """Names as programs have them, in three spellings, and paths."""
+    for _ in range(n):
+        parts = rng.choices(WORDS, k=rng.randrange(3, 6))
+        yield rng.choice(
+            ("_".join(parts), "".join(p.capitalize() for p in parts), "/".join(parts), "-".join(parts).upper())
+        )
+
+
+def test_recall_and_false_share(documents):
+    """Planted keys outside of every base pattern, among names twenty times as many."""
+    rng = random.Random(11)
+    planted = ["".join(rng.choice(a) for _ in range(n)) for a in ALPHABETS[1:] for n in (32, 40, 64) for _ in range(10)]
+    names = list(identifiers(rng, 20 * len(planted)))
+    structured = ["abcdefghijklmnopqrstuvwxyz0123456789", "Zz9" * 16, "QWERTYUIOPASDFGHJKLZXCVBNM" * 2, "a1b2c3d4e5f6g7h8i9j0" * 3]
+    got = {r["doc_id"]: r["n_random"] for r in find_secrets(documents(planted + names + structured)).collect()}
+    n = len(planted)
+    assert sum(got[i] > 0 for i in range(n)) >= 0.9 * n
+    assert sum(got[i] for i in range(n, n + len(names))) <= 0.01 * n
+    assert sum(got[n + len(names) + i] for i in range(2)) == 0
+
+
+def two_sided(z):
+    z = abs(z)
+    return min(1.0, 8 * math.exp(-z * z / 2) / math.sqrt(2 * math.pi) / (3 * z + math.sqrt(z * z + 8)))
+
+
+def battery(token, alphabet):
+    """The three tests, spelled out on numbers."""
+    p, n, size = [alphabet.index(c) + 1 for c in token], len(token), len(alphabet)
+    chi = max(0.0, sum(p.count(c) ** 2 for c in set(p)) * size / n - n)
+    spread = 2 / (9 * (size - 1))
+    z = ((chi / (size - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread)
+    halves = [x > size / 2 for x in p]
+    high = sum(halves)
+    runs = 1 + sum(a != b for a, b in zip(halves, halves[1:], strict=False))
+    expected = 2 * high * (n - high) / n
+    variance = expected * (expected - 1) / (n - 1)
+    p_runs = two_sided((runs - 1 - expected) / math.sqrt(variance)) if variance > 0 else 0.5 ** (n - 1)
+    total, squares = sum(p), sum(x * x for x in p)
+    around = sum(a * b for a, b in zip(p, p[1:] + p[:1], strict=True))
+    free = n * squares - total * total
+    serial = two_sided(((n * around - total * total) / free + 1 / (n - 1)) * math.sqrt(n)) if free > 0 else 0.0
+    return min(1.0, 3 * min(two_sided(z) / 2 if z > 0 else 1.0, p_runs, serial))
+
+
+def random_tokens(texts):
+    """(text, start, end) of the reported tokens, by both procedures over lists."""
+    kinds = secrets._ordinary_weights()
+    strata = {}
+    for i, text in texts.items():
+        for m in re.finditer("[A-Za-z0-9+/_-]{20,}", text or ""):
+            t = m[0]
+            e = next(k for k, x in enumerate(secrets.ENCODINGS) if re.search(x[1], t))
+            alphabet = secrets.ENCODINGS[e][2]
+            ordinary = max(sum(weights[c] for c in t) for weights in kinds)
+            evidence = (-len(t) * math.log(len(alphabet)) - ordinary) / math.log(10)
+            logs = (evidence, -math.log10(max(battery(t, alphabet), 1e-300)))
+            bins = [int(min(max(x, 0) * 4, 400)) for x in logs]
+            stratum = (e, sum(len(t) >= b for b in secrets.BANDS))
+            strata.setdefault(stratum, []).append((i, m.start(), m.end(), *bins))
+
+    def least(bins):
+        passing = [b for b in set(bins) if 10 ** (-b / 4) <= 0.01 * sum(x >= b for x in bins) / len(bins)]
+        return min(passing, default=401)
+
+    for own in strata.values():
+        ordinary, not_random = least([t[3] for t in own]), least([t[4] for t in own])
+        yield from (t[:3] for t in own if t[3] >= ordinary and t[4] < not_random)
+
+
+def reported(df):
+    return {
+        (r["doc_id"], *map(int, s.split(":")[1:]))
+        for r in df.collect()
+        for s in r["spans"].split(",")
+        if s.startswith("random")
+    }
+
+
+def test_random_spans_against_lists(documents):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(300):
+        alphabet, n = rng.choice(ALPHABETS), rng.randrange(20, 70)
+        token = [rng.choice(alphabet) for _ in range(n)]
+        if rng.random() < 0.3:
+            token.sort()
+        texts.append(f"é {''.join(token)} {next(identifiers(rng, 1))}")
+    texts += ["1" * 40, "0123456789" * 5, None, "", "A" * 3000]
+    want = set(random_tokens(dict(enumerate(texts))))
+    assert len(want) > 50
+    assert reported(find_secrets(documents(texts))) == want
+
+
+def test_battery_decides(documents):
+    """Characters that chance picked, then sorted: no word, and not random either."""
+    rng = random.Random(13)
+    drawn = [[rng.choice(ALPHABETS[2]) for _ in range(44)] for _ in range(40)]
+    texts = ["".join(sorted(t) if k < 20 else t) for k, t in enumerate(drawn)]
+    got = {r["doc_id"]: r["n_random"] for r in find_secrets(documents(texts)).collect()}
+    assert sum(got[k] for k in range(20)) == 0
+    assert sum(got[k] for k in range(20, 40)) >= 18
+
+
 def test_empty_repeated_and_extra_columns(llm, documents):
     assert find_secrets(documents([])).collect() == []
     docs = documents([(1, "secret=abcdefghijklmnop"), (1, "secret=abcdefghijklmnop"), (None, "x")])
