@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from tallyloom.llm import fertility
 from tallyloom.llm.fertility import BANDS, PieceCounts, entropy_share, fertility_rules, script
 from tallyloom.llm.fm_classifier import STATISTICS, WORD_BUCKETS, Model, Rows, fit, fold, keep_good, score
 from tallyloom.llm.queries import op3_fertility_rules, op5_factorisation_quality
@@ -77,7 +78,7 @@ def test_base_counts(documents):
     assert fertility_rules(documents([(1, "a"), (1, "a")]), lang_col=None).count() == 2
 
 
-def test_byte_fallback_is_that_of_the_whole_text(llm):
+def test_byte_fallback_is_that_of_the_whole_text(llm, monkeypatch):
     counts = PieceCounts()
     rng = np.random.default_rng(3)
     signs = [*"ab é\n  \t\r", "\u3000", "\U0001f600", "\U00012000", "word", "<0x0A>", "▁"]
@@ -92,6 +93,14 @@ def test_byte_fallback_is_that_of_the_whole_text(llm):
         assert counts.of(text) == (len(ids), len(raw))
         shares += bool(raw)
     assert shares > 1_500
+    assert counts.splits
+    whole = [len(counts.model.encode(text)) for text in texts]
+    assert counts.tokens(texts).tolist() == whole
+    monkeypatch.setattr(fertility, "LOT_CHARS", 3_000)
+    monkeypatch.setattr(fertility, "LOT_PARTS", 7)
+    assert counts.tokens(texts).tolist() == whole
+    assert counts.tokens([]).tolist() == []
+    monkeypatch.undo()
     measured = fertility_rules(llm.createDataFrame(rows)).where("fallback_share > 0").count()
     assert measured == sum("\n" in r["text"] or counts.of(r["text"])[1] > 0 for r in rows) > 900
 
