@@ -4,6 +4,9 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tallyloom.llm import collocations as module
@@ -101,6 +104,60 @@ def test_repeated_passages_are_one_entry(llm):
     assert max(e["freq"] for e in entries) == 50
 
 
+def test_rare_phrases_are_not_written(llm, monkeypatch):
+    """Counts under the bound end in the task that adds them up."""
+    written = []
+    original = module.materialize
+
+    def recorded(df, name):
+        table = original(df, name)
+        if "a" in table.columns:
+            written.append((name, table.count(), table.where("a < 5").count()))
+        return table
+
+    monkeypatch.setattr(module, "materialize", recorded)
+    docs = corpus(7)
+    got = collocations(frame(llm, docs), least=5)
+    assert sorted(map(tuple, got.collect())) == brute(docs, 5)
+    assert sum(n for _, n, _ in written) > 100
+    assert [rare for _, _, rare in written if rare] == []
+
+
+def test_many_ranges_of_hashes(llm, monkeypatch):
+    monkeypatch.setattr(module, "GROUP", 40)
+    docs = corpus(8)
+    got = collocations(frame(llm, docs), least=4)
+    assert sorted(map(tuple, got.collect())) == brute(docs, 4)
+
+
+@pytest.mark.parametrize("block, held", [(1, 30), (1, 1 << 20), (1 << 20, 1)])
+def test_counts_packed_part_by_part(llm, monkeypatch, block, held):
+    """Rows of a task are one for each range and language, however often it hands them on."""
+    monkeypatch.setattr(module, "BLOCK", block)
+    monkeypatch.setattr(module, "HELD", held)
+    monkeypatch.setattr(module, "HELD_TEXTS", held * 20)
+    docs = corpus(9)
+    want = Counter()
+    for text, lang in docs:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text.translate(FOLD)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            want.update(("und" if lang is None else lang, " ".join(p)) for p in zip(words, words[1:], strict=False))
+    want = {p: a for p, a in want.items() if a >= 3}
+    every = np.full(1 << 10, -1, np.int64).view(np.uint64)
+    entries = dictionary(frame(llm, docs)).toArrow().to_batches(max_chunksize=50)
+    packed = pa.Table.from_batches(module._counter(3, every, 7)(iter(entries)))
+    if held == 1 << 20:
+        assert len(packed) <= 7 * 4
+    got, hashes = {}, set()
+    for part in range(7):
+        rows = module._adder(3)(packed.filter(pc.equal(packed["part"], part))).to_pylist()
+        got |= {(r["lang"], r["phrase"]): r["a"] for r in rows if r["phrase"] is not None}
+        hashes |= {r["h"] for r in rows if r["phrase"] is None}
+        assert all(r["a"] >= 3 for r in rows)
+    assert got == want
+    assert len(hashes) > 20
+
+
 def test_query_on_the_table(llm):
     sf_dir = "/root/testdata/sf0.01"
     docs = [(r["text"], r["lang"]) for r in llm.read.parquet(f"{sf_dir}/documents.parquet").collect()]
